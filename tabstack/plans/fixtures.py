@@ -21,8 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabstack.operators.folds import assign_folds_stratified
+from tabstack.session import cut_lineage
 from tabstack.sources.tables import read_table
 
+_MEMO: dict = {}
+
+
+def _materialised(name: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """Build once per session and input folder, written to the shared
+    checkpoint folder (lineage cut), like a prediction table read from the
+    OOF store.  Stand-in predictions are 25 generated expressions; without the
+    cut, Catalyst would inline all of them into every blend expression."""
+    key = (name, id(spark._jsparkSession), sf_dir)
+    if key not in _MEMO:
+        _MEMO[key] = cut_lineage(build())
+    return _MEMO[key]
+
 SEED = 42
 N_FOLDS = 5
 N_MODELS = 5
@@ -100,9 +114,9 @@ ACCT_SQL = """acct AS (
 # ------------------------------------------------------------ acct_folds
 
 def acct_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_folds_stratified(acct(spark, sf_dir), key="row_id", k=N_FOLDS,
-                                   stratify="tier", seed=SEED,
-                                   only_where=F.col("split") == "train")
+    return _materialised("acct_folds", spark, sf_dir, lambda: assign_folds_stratified(
+        acct(spark, sf_dir), key="row_id", k=N_FOLDS, stratify="tier", seed=SEED,
+        only_where=F.col("split") == "train"))
 
 
 def fold_sql(key: str, strat: str, k: int = N_FOLDS, seed: int = SEED,
@@ -128,6 +142,10 @@ def _raw_score(m: int, k: int, row_id, tier):
 
 def acct_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide table: per model m, class probabilities m{m}_p{k} and rate m{m}_rate."""
+    return _materialised("acct_pred", spark, sf_dir, lambda: _acct_pred(spark, sf_dir))
+
+
+def _acct_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = acct_folds(spark, sf_dir)
     rid, tier, rate = F.col("row_id"), F.col("tier"), F.col("rate")
     cols = {}

@@ -58,8 +58,14 @@ SNAP = 0.5007071
 
 
 def q6(c, scale: float = 1e6) -> Column:
+    """floor(c * scale + SNAP) / scale in DOUBLE.  ``F.floor`` returns a
+    BIGINT (saturating above 9.2e18), so the floor is taken in the double
+    domain: y - fmod(y, 1) is exact, minus one for negative fractions."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c.cast("double") * F.lit(scale) + F.lit(SNAP)) / F.lit(scale)
+    y = c.cast("double") * F.lit(scale) + F.lit(SNAP)
+    r = y % F.lit(1.0)
+    fl = (y - r) - F.when(r < 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    return fl / F.lit(scale)
 
 
 def sq6(expr: str, scale: str = "1e6") -> str:

@@ -300,3 +300,24 @@ def q_importance(spark, sf):
     d = _model_frame(spark, sf).where(F.col("split") == "train")
     imp = ML.feature_importance(d, FEATS, "rate", "reg")
     return spark.createDataFrame(imp, "feature string, importance double")
+
+
+# fixed values: the cumulative feature blocks of the ablation report
+ABLATION_BLOCKS = [["n_orders"], ["delinquency", "late90"], ["log_total_value", "value_per_order"],
+                   ["mortgage_ltv"], ["balance"]]
+
+
+@query("report_ablation")
+def q_ablation(spark, sf):
+    """Score per cumulative feature block: out-of-fold linear R^2 after each
+    block is added (one Gram aggregate per block, folds solved in closed
+    form)."""
+    a = acct_features(FX.acct_folds(spark, sf)).where(F.col("fold").isNotNull())
+    rows, feats = [], []
+    for i, block in enumerate(ABLATION_BLOCKS):
+        feats = feats + block
+        coefs, mean = ols_oof_coefficients(a, feats, "rate", "fold")
+        pred = a.withColumn("pred", linear_prediction(feats, coefs, mean, "fold"))
+        r = MT.r2_rmse(pred, "pred", "rate").collect()[0]
+        rows.append((i, "+".join(block), len(feats), float(r["r2"]), float(r["rmse"])))
+    return spark.createDataFrame(rows, "step int, block string, n_features int, r2 double, rmse double")

@@ -144,3 +144,25 @@ def q_score_json(spark, sf):
     path = scratch_path(spark, "score_json")
     spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return spark.read.text(path)
+
+
+@query("src_oof_write", W("acct_pred", "SELECT 'A' AS task, CAST(count(*) * 5 AS BIGINT) AS rows FROM acct_pred "
+                          "UNION ALL SELECT 'B', CAST(count(*) * 5 AS BIGINT) FROM acct_pred"))
+def q_oof_write(spark, sf):
+    """Predictions of five models for both tasks appended to the partitioned
+    store; row counts per task read back from the written folders."""
+    path = scratch_path(spark, "oof_store_w")
+    ST.write_oof(_oof_long(spark, sf), path, mode="overwrite")
+    return spark.read.parquet(path).groupBy("task").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("src_oof_read", W("acct_pred", "SELECT row_id, " + ", ".join(
+    f"{sq6(f'm{m}_p4')} AS m{m}_p4" for m in range(M)) + " FROM acct_pred"))
+def q_oof_read(spark, sf):
+    """Task A read back (partition filter on task/version) and pivoted to one
+    column per model (probability of the top class)."""
+    path = scratch_path(spark, "oof_store_r")
+    ST.write_oof(_oof_long(spark, sf), path, mode="overwrite")
+    back = ST.read_oof(spark, path, task="A", version="v1").select("row_id", "model", F.col("pred")[4].alias("v"))
+    wide = ST.pivot_models(back, [f"m{m}" for m in range(M)], value="v")
+    return wide.select("row_id", *[q6(f"m{m}").alias(f"m{m}_p4") for m in range(M)])

@@ -236,7 +236,7 @@ def q_tune(spark, sf):
     d = ML.assemble(_model_frame(spark, sf).where(F.col("fold").isNotNull()), FEATS)
     est = ML.gbt_reg(42, 10).setLabelCol("rate")
     grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).addGrid(est.stepSize, [0.1, 0.3]).build()
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, foldCol="fold", parallelism=4,
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, foldCol="fold", numFolds=5, parallelism=4,
                         evaluator=RegressionEvaluator(labelCol="rate", metricName="rmse"))
     m = cv.fit(d.withColumn("fold", F.col("fold").cast("int")))
     rows = [(int(pm[est.maxDepth]), float(pm[est.stepSize]), float(s)) for pm, s in zip(grid, m.avgMetrics)]

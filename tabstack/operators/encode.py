@@ -75,14 +75,16 @@ def fit_label_codes(df: DataFrame, col: str) -> DataFrame:
     """Sorted integer codes 0..n-1 over the distinct values of ``col``.
 
     Distinct values are range-partitioned and sorted across tasks, then
-    numbered by ``zipWithIndex`` (per-partition counts + offsets), so no
-    single task or the driver ever holds all levels.
+    numbered by per-partition counts + offsets, so no single task or the
+    driver ever holds all levels.
     """
+    from tabstack.session import cut_lineage
+    from tabstack.sources.tables import with_row_id
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
-    spark = df.sparkSession
-    rdd = distinct.rdd.zipWithIndex().map(lambda r: (r[0][0], int(r[1])))
-    schema = f"{col} {distinct.schema[col].dataType.simpleString()}, {col}_code int"
-    return spark.createDataFrame(rdd, schema)
+    # the range-partitioned, sorted levels are checkpointed so their
+    # partitioning is fixed before positions are counted
+    coded = with_row_id(cut_lineage(distinct), "_code")
+    return coded.select(col, F.col("_code").cast("int").alias(f"{col}_code"))
 
 
 def label_encode(df: DataFrame, col: str, codes: DataFrame, out: str | None = None,

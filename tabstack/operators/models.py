@@ -96,10 +96,11 @@ def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], featu
     d = assemble(df.select(key, fold, label, *features), features)
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).where(F.col(fold).isNotNull()).distinct().collect())
-    parts, test_parts = [], []
     test = d.where(F.col(fold).isNull())
+    models = fit_folds(d, make_estimator, label, fold, folds)
+    parts, test_parts = [], []
     for f in folds:
-        model = make_estimator(f).setLabelCol(label).fit(d.where(F.col(fold).isNotNull() & (F.col(fold) != f)))
+        model = models[f]
         scored = model.transform(d.where(F.col(fold) == f))
         parts.append(scored.select(key, fold, *_pred_cols(scored, kind, n_classes)))
         ts = model.transform(test)
@@ -118,6 +119,20 @@ def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], featu
     return out
 
 
+def fit_folds(d: DataFrame, make_estimator: Callable[[int], Estimator], label: str, fold: str,
+              folds: Sequence[int], parallelism: int | None = None) -> dict:
+    """Fit the K fold models (each on the other folds) as concurrent Spark
+    jobs -- they share the persisted input and are independent, like
+    ``CrossValidator(parallelism=...)``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit(f):
+        return f, make_estimator(f).setLabelCol(label).fit(d.where(F.col(fold).isNotNull() & (F.col(fold) != f)))
+
+    with ThreadPoolExecutor(max_workers=parallelism or len(folds)) as ex:
+        return dict(ex.map(fit, folds))
+
+
 def binary_ovr_probs(df: DataFrame, features: Sequence[str], label: str, fold: str, n_classes: int = 5,
                      key: str = "row_id", seed: int = 42, max_iter: int = 20) -> DataFrame:
     """Multiclass boosted trees: GBTClassifier is binary only, so one binary
@@ -170,10 +185,10 @@ def _fit_subset_predict_all(df, features, label, fold, subset, key, seed=42):
     d = assemble(df.select(key, fold, label, *features, subset.alias("_in")), features)
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).where(F.col(fold).isNotNull()).distinct().collect())
+    models = fit_folds(d.where(F.col("_in")), lambda f: gbt_reg(seed + f, 20), label, fold, folds)
     parts, tests = [], []
     for f in folds:
-        m = gbt_reg(seed + f, 20).setLabelCol(label).fit(
-            d.where(F.col("_in") & F.col(fold).isNotNull() & (F.col(fold) != f)))
+        m = models[f]
         parts.append(m.transform(d.where(F.col(fold) == f)).select(key, F.col("prediction").alias("pred")))
         tests.append(m.transform(d.where(F.col(fold).isNull())).select(key, F.col("prediction").alias("pred")))
     oof = parts[0]

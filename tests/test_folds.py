@@ -44,3 +44,13 @@ def test_hash_folds_narrow(spark):
     assert "Exchange" not in d._jdf.queryExecution().executedPlan().toString()
     c = d.groupBy("fold").count().toPandas()
     assert set(c.fold) == set(range(5))
+
+
+def test_row_id_equals_zip_with_index(spark):
+    from tabstack.session import cut_lineage
+    from tabstack.sources.tables import read_table, with_row_id
+    li = cut_lineage(read_table(spark, SF01, "lineitem").select("l_orderkey", "l_linenumber").repartition(7))
+    got = [(r[0], r[1], r[2]) for r in with_row_id(li).collect()]
+    exp = [(i, r[0], r[1]) for r, i in li.rdd.zipWithIndex().collect()]
+    assert sorted(got) == sorted(exp)
+    assert sorted(g[0] for g in got) == list(range(li.count()))

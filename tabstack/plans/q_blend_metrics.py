@@ -392,15 +392,28 @@ def q_pseudo(spark, sf):
     return u.select("row_id", "tier", q6("rate").alias("rate"), F.col("is_pseudo").cast("int").alias("is_pseudo"))
 
 
-@query("pseudo_round2")
+ROUND2_W = [0.05, 0.1, 0.15, 0.3, 0.4]
+
+
+def _round2_sql(n=150, t=0.25):
+    b = _blend_sql(ROUND2_W)
+    conf = f"greatest({', '.join(b)})"
+    rate = f"greatest(4.99, least(35.99, {_scalar_sql(RATES, ROUND2_W)}))"
+    return W("acct_pred", f"""SELECT row_id, tier, {sq6('conf')} AS conf, {sq6('rate')} AS rate FROM (
+  SELECT row_id, {_argmax_sql(b)} AS tier, {conf} AS conf, {rate} AS rate FROM acct_pred
+  WHERE split = 'test' AND {conf} >= {t} ORDER BY conf DESC, row_id LIMIT {n})""")
+
+
+@query("pseudo_round2", _round2_sql())
 def q_pseudo2(spark, sf):
     """Second round: reweighted blend, looser threshold, more rows."""
     p = FX.acct_pred(spark, sf)
-    w = [0.05, 0.1, 0.15, 0.3, 0.4]
+    w = ROUND2_W
     test = p.where(F.col("split") == "test").select(
         "row_id", *[c.alias(f"b{k}") for k, c in enumerate(B.blend_columns(PROBS, w))],
         B.blend_scalar(RATES, w).alias("rate_blend"))
-    return pseudo_label(test, [f"b{k}" for k in range(5)], "rate_blend", n=150, threshold=0.25)
+    r = pseudo_label(test, [f"b{k}" for k in range(5)], "rate_blend", n=150, threshold=0.25)
+    return r.select("row_id", "tier", q6("conf").alias("conf"), q6("rate").alias("rate"))
 
 
 @query("pad_pseudo_features", W("acct_pred", f"""SELECT a.row_id, CAST(u.is_pseudo AS INTEGER) AS is_pseudo,

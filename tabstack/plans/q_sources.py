@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabstack.operators import blend as B
 from tabstack.plans import fixtures as FX
+from tabstack.plans.q_blend_metrics import _argmax_sql, _blend_sql, _scalar_sql
 from tabstack.plans.registry import q6, query, sq6
 from tabstack.session import scratch_path
 from tabstack.sources import sinks as SK
@@ -73,7 +74,9 @@ def q_latest(spark, sf):
     return ST.latest_rows(e, ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "value"])
 
 
-@query("src_latest_oof")
+@query("src_latest_oof", W("acct_pred", """SELECT t.task, m.model, CASE WHEN m.model IN ('m0', 'm3') THEN 'v2' ELSE 'v1' END AS version,
+  (SELECT count(*) FROM acct_pred) AS rows
+FROM (VALUES ('A'), ('B')) t(task), (VALUES ('m0'), ('m1'), ('m2'), ('m3'), ('m4')) m(model)"""))
 def q_latest_oof(spark, sf):
     """Newest version per (task, model) in the OOF store; older versions and
     missing models are skipped."""
@@ -86,7 +89,6 @@ def q_latest_oof(spark, sf):
 
 
 def _sub_sql():
-    from tabstack.plans.q_blend_metrics import _argmax_sql, _blend_sql, _scalar_sql
     eq = [1.0 / M] * M
     rate = f"greatest(4.99, least(35.99, {_scalar_sql([f'm{m}_rate' for m in range(M)], eq)}))"
     return (f"SELECT CAST(row_id AS INTEGER) AS Id, {_argmax_sql(_blend_sql(eq))} AS RiskTier, "
@@ -119,7 +121,9 @@ def q_validate(spark, sf):
     return SK.validate(_submission(spark, sf))
 
 
-@query("sink_if_better")
+@query("sink_if_better", W("acct_pred", f"""SELECT 'blend_mean' AS run,
+  {sq6("avg(CAST(" + _argmax_sql(_blend_sql([0.2] * 5)) + " = tier AS DOUBLE))")} AS score,
+  CAST(NULL AS DOUBLE) AS previous_best, true AS published FROM acct_pred WHERE split = 'train'"""))
 def q_if_better(spark, sf):
     """Publish the submission only when its in-sample score beats the best
     recorded so far (first run publishes)."""
@@ -129,8 +133,9 @@ def q_if_better(spark, sf):
     acc = accuracy(p, argmax_class(F.array(*B.blend_columns(PROBS))), "tier").collect()[0]["accuracy"]
     scores = scratch_path(spark, "scores")
     out = scratch_path(spark, "published")
-    return SK.publish_if_better(spark, scores, "blend_mean", acc,
-                                lambda: SK.write_submission(_submission(spark, sf), out))
+    r = SK.publish_if_better(spark, scores, "blend_mean", acc,
+                             lambda: SK.write_submission(_submission(spark, sf), out))
+    return r.select("run", q6("score").alias("score"), "previous_best", "published")
 
 
 @query("sink_score_json")

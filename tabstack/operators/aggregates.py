@@ -36,11 +36,70 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True,
     return quantiles(df, cols, 0.5, exact=exact, accuracy=accuracy)
 
 
+EXACT_MAP_MAX_DISTINCT = 1_000_000  # above this, ``percentile``'s value map is too big
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], q: float, exact: bool = True,
               accuracy: int = 100000) -> dict[str, float]:
-    fn = (lambda c: F.percentile(c, q)) if exact else (lambda c: F.percentile_approx(c, q, accuracy))
-    r = one_row(df.agg(*[fn(F.col(c).cast("double")).alias(c) for c in cols]))
-    return {c: (float(r[c]) if r[c] is not None else None) for c in cols}
+    """Linear-interpolation quantile of every column.
+
+    exact: columns with a bounded number of distinct values use ``percentile``
+    (one pass, a value->count map per task); high-cardinality columns use
+    :func:`exact_quantile_select` (bracketing passes, bounded memory).  The
+    cardinality check rides on one ``approx_count_distinct`` aggregate."""
+    if not exact:
+        r = one_row(df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, accuracy).alias(c) for c in cols]))
+        return {c: (float(r[c]) if r[c] is not None else None) for c in cols}
+    nd = one_row(df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]))
+    small = [c for c in cols if nd[c] <= EXACT_MAP_MAX_DISTINCT]
+    out: dict[str, float] = {}
+    if small:
+        r = one_row(df.agg(*[F.percentile(F.col(c).cast("double"), q).alias(c) for c in small]))
+        out.update({c: (float(r[c]) if r[c] is not None else None) for c in small})
+    for c in cols:
+        if c not in out:
+            out[c] = exact_quantile_select(df, c, q)
+    return out
+
+
+def exact_quantile_select(df: DataFrame, col: str, q: float, accuracy: int = 10000,
+                          max_collect: int = 100_000) -> float | None:
+    """Exact linear-interpolation quantile without holding the column.
+
+    The needed order statistics are ranks k0 = floor((n-1)q) and k0 + 1.
+    ``percentile_approx`` (rank error <= n/accuracy) gives a value bracket
+    around them; one counting pass checks that the ranks fall inside and how
+    many values lie below.  A bracket small enough is collected (bounded by
+    ``max_collect``) and the ranks are read off; otherwise the column is
+    filtered to the bracket and the step repeats on the smaller slice."""
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    n = x.count()
+    if n == 0:
+        return None
+    h = (n - 1) * q
+    k0 = int(h)
+    k1 = min(k0 + 1, n - 1)
+    below = 0          # values strictly below the current slice
+    cur, cur_n = x, n
+    lo_v = hi_v = None
+    for _ in range(8):
+        if cur_n <= max_collect:
+            vals = sorted(r[0] for r in cur.collect())  # bounded slice
+            a, b = vals[k0 - below], vals[k1 - below]
+            return float(a + (b - a) * (h - k0)) if k1 != k0 else float(a)
+        slack = 2.0 * cur_n / accuracy + 2
+        p_lo = max(0.0, (k0 - below - slack) / cur_n)
+        p_hi = min(1.0, (k1 - below + slack) / cur_n)
+        lo_v, hi_v = one_row(cur.agg(F.percentile_approx("x", [p_lo, p_hi], accuracy).alias("v")))["v"]
+        cnt = one_row(cur.agg(F.count_if(F.col("x") < lo_v).alias("b"),
+                              F.count_if((F.col("x") >= lo_v) & (F.col("x") <= hi_v)).alias("m")))
+        if not (below + cnt["b"] <= k0 and k1 < below + cnt["b"] + cnt["m"]):
+            accuracy *= 4  # approximation missed (rare): widen and retry
+            continue
+        below += cnt["b"]
+        cur = cur.where((F.col("x") >= lo_v) & (F.col("x") <= hi_v))
+        cur_n = cnt["m"]
+    raise RuntimeError("exact quantile selection did not converge")
 
 
 def modes(df: DataFrame, cols: Sequence[str], cast: str | None = None) -> DataFrame:

@@ -253,10 +253,13 @@ def loo_encode(df: DataFrame, key: str, target: str, is_train: Column, m: float
 def fit_quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = 5,
                        exact: bool = True, accuracy: int = 100000) -> dict[str, list[float]]:
     """Inner quantile edges per column, all columns in ONE aggregate."""
+    from tabstack.operators.aggregates import quantiles
     qs = [i / n_bins for i in range(1, n_bins)]
-    fn = (lambda c: F.percentile(c, qs)) if exact else (lambda c: F.percentile_approx(c, qs, accuracy))
-    r = one_row(df.agg(*[fn(F.col(c).cast("double")).alias(c) for c in cols]))
-    return {c: list(r[c]) for c in cols}
+    if not exact:
+        r = one_row(df.agg(*[F.percentile_approx(F.col(c).cast("double"), qs, accuracy).alias(c) for c in cols]))
+        return {c: list(r[c]) for c in cols}
+    per_q = [quantiles(df, cols, q) for q in qs]  # cardinality-aware exact quantiles
+    return {c: [pq[c] for pq in per_q] for c in cols}
 
 
 def kbins_columns(edges: Mapping[str, Sequence[float]], suffix: str = "_bin") -> dict[str, Column]:
@@ -279,21 +282,14 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "standard",
             aggs += [F.avg(x).alias(f"{c}__a"), F.stddev_pop(x).alias(f"{c}__b")]
         elif kind == "minmax":
             aggs += [F.min(x).alias(f"{c}__a"), (F.max(x) - F.min(x)).alias(f"{c}__b")]
-        elif kind == "robust":
-            q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-                 else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000))
-            aggs.append(q.alias(f"{c}__q"))
-        else:
+        elif kind != "robust":
             raise ValueError(kind)
+    if kind == "robust":
+        from tabstack.operators.aggregates import quantiles
+        q1, med, q3 = (quantiles(df, cols, q, exact=exact) for q in (0.25, 0.5, 0.75))
+        return {c: (float(med[c]), float(q3[c] - q1[c])) for c in cols}
     r = one_row(df.agg(*aggs))
-    out = {}
-    for c in cols:
-        if kind == "robust":
-            q1, med, q3 = r[f"{c}__q"]
-            out[c] = (float(med), float(q3 - q1))
-        else:
-            out[c] = (float(r[f"{c}__a"]), float(r[f"{c}__b"] or 0.0))
-    return out
+    return {c: (float(r[f"{c}__a"]), float(r[f"{c}__b"] or 0.0)) for c in cols}
 
 
 def scale_columns(state: Mapping[str, tuple[float, float]], suffix: str = "",

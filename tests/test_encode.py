@@ -99,3 +99,14 @@ def test_loo_and_scalers(spark):
         assert abs(out.loc[r.row_id, "nation_loo"] - exp) < 1e-9
     st = EN.fit_scaler(a, ["balance"], "standard")
     assert abs(st["balance"][1] - np.std(pdf.balance)) < 1e-6  # population std
+
+
+def test_exact_quantile_select_matches_numpy(spark):
+    from tabstack.operators.aggregates import exact_quantile_select
+    from tabstack.sources.tables import read_table
+    from conftest import SF01
+    li = read_table(spark, SF01, "lineitem")
+    vals = np.array([r[0] for r in li.select("l_extendedprice").collect()])
+    for q in (0.5, 0.995, 0.0, 1.0, 0.37):
+        got = exact_quantile_select(li, "l_extendedprice", q, accuracy=200, max_collect=500)
+        assert abs(got - np.quantile(vals, q)) <= 1e-9 * max(1.0, abs(got))

@@ -113,6 +113,7 @@ class TargetStats:
     m: float
     fold: str | None
     suffix: dict[str, str] = field(default_factory=dict)
+    fold_priors: dict | None = None  # fold -> (mean prior, p prior) when prior="oof"
 
 
 STAT_SUFFIX = {"mean": "te", "p": "te_p", "std": "te_std", "n": "te_n", "se": "te_se"}
@@ -122,7 +123,7 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
                      fold: str | None = "fold", m: float = 20.0,
                      stats: Sequence[str] = ("mean",), binary: Column | str | None = None,
                      names: Sequence[str] | None = None,
-                     suffix: Mapping[str, str] | None = None) -> TargetStats:
+                     suffix: Mapping[str, str] | None = None, prior: str = "all") -> TargetStats:
     """Smoothed target statistics per key set, leave-fold-out for rows with a
     fold and full-train for the rest.
 
@@ -134,6 +135,10 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
 
     All key sets are aggregated in ONE scan with GROUPING SETS; partial
     aggregation absorbs hot keys before the shuffle.
+
+    ``prior="oof"`` takes the smoothing prior of a fold's rows from the other
+    folds only (per-fold means from one K-row aggregate), so no statistic of
+    a row depends on its own label.
     """
     key_sets = [[k] if isinstance(k, str) else list(k) for k in key_sets]
     names = list(names) if names else ["__".join(k) for k in key_sets]
@@ -166,6 +171,14 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
     # the (key set, key, fold) sums are O(distinct keys x K) rows: keep them so
     # every key set is cut from the SAME scan instead of re-running it
     agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+    fold_mu = None
+    if prior == "oof" and fold:
+        pf = {r["_f"]: (r["s"], r["b"], r["n"]) for r in base.groupBy("_f").agg(
+            F.sum("_y").alias("s"), F.sum("_b").alias("b"), F.count(F.lit(1)).alias("n")).collect()}  # K rows
+        S, Bt, N = (sum(v[i] for v in pf.values()) for i in range(3))
+        fold_mu = {f: ((S - s) / (N - n), (Bt - b) / (N - n)) for f, (s, b, n) in pf.items()}
+    elif prior != "all":
+        raise ValueError(prior)
     tables = {}
     for name, ks in zip(names, key_sets):
         gid = [k for k, v in gids.items() if v == ks][0]
@@ -178,18 +191,24 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
         full = part.groupBy(*ks).agg(*[F.sum(c).alias(c) for c in ("_n", "_s", "_c1", "_c2", "_sb")]) \
             .select(*ks, F.lit(FULL).alias("_lf"), "_n", "_s", "_c1", "_c2", "_sb")
         lut = (oof.unionByName(full) if fold else full).where(F.col("_n") > 0)
-        tables[name] = bounded_broadcast(_finish(lut, ks, stats, m, mu, sd, pmu))
+        tables[name] = bounded_broadcast(_finish(lut, ks, stats, m, mu, sd, pmu, fold_mu))
     return TargetStats(key_sets, names, tables, {"mean": mu, "p": pmu, "std": sd, "n": 0.0, "se": 0.0},
-                       tuple(stats), m, fold, dict(suffix or STAT_SUFFIX))
+                       tuple(stats), m, fold, dict(suffix or STAT_SUFFIX), fold_mu)
 
 
-def _finish(lut: DataFrame, ks, stats, m, mu, sd, pmu) -> DataFrame:
+def _finish(lut: DataFrame, ks, stats, m, mu, sd, pmu, fold_mu=None) -> DataFrame:
     n, s, c1, c2, sb = (F.col(c) for c in ("_n", "_s", "_c1", "_c2", "_sb"))
     nd = n.cast("double")
     var = (c2 - c1 * c1 / nd) / (nd - 1)
     std = F.when(n >= 2, F.sqrt(F.greatest(var, F.lit(0.0)))).otherwise(F.lit(sd))
-    cols = {"mean": (s + F.lit(m * mu)) / (nd + F.lit(m)),
-            "p": (sb + F.lit(m * pmu)) / (nd + F.lit(m)),
+    mu_c, pmu_c = F.lit(mu), F.lit(pmu)
+    if fold_mu:  # per-fold priors as literals (K entries)
+        mu_e, p_e = F.when(F.col("_lf") == FULL, F.lit(mu)), F.when(F.col("_lf") == FULL, F.lit(pmu))
+        for f, (a, b) in sorted(fold_mu.items()):
+            mu_e, p_e = mu_e.when(F.col("_lf") == f, F.lit(a)), p_e.when(F.col("_lf") == f, F.lit(b))
+        mu_c, pmu_c = mu_e, p_e
+    cols = {"mean": (s + F.lit(m) * mu_c) / (nd + F.lit(m)),
+            "p": (sb + F.lit(m) * pmu_c) / (nd + F.lit(m)),
             "std": std,
             "n": nd,
             "se": std / F.sqrt(nd + F.lit(m))}
@@ -211,7 +230,14 @@ def apply_target_stats(df: DataFrame, state: TargetStats, fold: str | None = Non
         out = out.join(t, on=[*ks, "_lf"], how="left")
         new = {}
         for st in state.stats:
-            v = F.coalesce(F.col(f"_st_{st}"), F.lit(state.priors[st]))
+            fallback = F.lit(state.priors[st])
+            if state.fold_priors and st in ("mean", "p"):
+                i = 0 if st == "mean" else 1
+                fb = F.when(F.col("_lf") == FULL, fallback)
+                for f, pr in sorted(state.fold_priors.items()):
+                    fb = fb.when(F.col("_lf") == f, F.lit(pr[i]))
+                fallback = fb.otherwise(fallback)
+            v = F.coalesce(F.col(f"_st_{st}"), fallback)
             if noise and st in noise:
                 z = gauss_hash(F.col(noise_key), name, seed)
                 se = F.coalesce(F.col("_st_se"), F.lit(0.0))

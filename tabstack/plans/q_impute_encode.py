@@ -352,3 +352,24 @@ def _scale_query(kind):
 
 for _kind in ("standard", "minmax", "robust"):
     query(f"scale_{_kind}", W("acct", _scale_sql(_kind)))(_scale_query(_kind))
+
+
+@query("enc_target_kfold_oof_prior", W("acct_folds", f"""SELECT r.row_id, {sq6('''CASE WHEN r.fold IS NULL
+    THEN (coalesce(f.s, 0) + 20.0 * g.mu) / (coalesce(f.n, 0) + 20.0)
+    ELSE (coalesce(o.s, 0) + 20.0 * gf.mu) / (coalesce(o.n, 0) + 20.0) END''')} AS nation_te
+FROM acct_folds r
+CROSS JOIN (SELECT avg(rate) AS mu FROM acct_folds WHERE split = 'train') g
+LEFT JOIN (SELECT k.fold, avg(t.rate) AS mu FROM (SELECT DISTINCT fold FROM acct_folds WHERE fold IS NOT NULL) k
+           JOIN acct_folds t ON t.split = 'train' AND t.fold <> k.fold GROUP BY k.fold) gf ON gf.fold = r.fold
+LEFT JOIN (SELECT nation, sum(rate) AS s, count(*) AS n FROM acct_folds WHERE split = 'train' GROUP BY nation) f
+  ON f.nation = r.nation
+LEFT JOIN (SELECT r2.row_id, sum(t.rate) AS s, count(t.rate) AS n FROM acct_folds r2
+           JOIN acct_folds t ON t.nation = r2.nation AND t.split = 'train' AND t.fold <> r2.fold
+           GROUP BY r2.row_id) o ON o.row_id = r.row_id"""))
+def q_te_kfold_oof_prior(spark, sf):
+    """Leave-fold-out encoding whose smoothing prior also excludes the fold
+    (a row's own label cannot reach its encoding)."""
+    a = FX.acct_folds(spark, sf)
+    st = EN.fit_target_stats(a.where(_train()), ["nation"], "rate", fold="fold", m=20.0, names=["nation"],
+                             prior="oof")
+    return EN.apply_target_stats(a, st).select("row_id", q6("nation_te").alias("nation_te"))

@@ -110,3 +110,15 @@ def test_exact_quantile_select_matches_numpy(spark):
     for q in (0.5, 0.995, 0.0, 1.0, 0.37):
         got = exact_quantile_select(li, "l_extendedprice", q, accuracy=200, max_collect=500)
         assert abs(got - np.quantile(vals, q)) <= 1e-9 * max(1.0, abs(got))
+
+
+def test_oof_prior_removes_own_label_entirely(spark):
+    a = FX.acct_folds(spark, SF001)
+    rid = a.where(F.col("split") == "train").orderBy("row_id").first()["row_id"]
+    bumped = a.withColumn("rate", F.when(F.col("row_id") == rid, F.col("rate") + 100.0).otherwise(F.col("rate")))
+    vals = []
+    for d in (a, bumped):
+        st = EN.fit_target_stats(d.where(F.col("split") == "train"), ["nation"], "rate", fold="fold",
+                                 m=20.0, prior="oof")
+        vals.append(EN.apply_target_stats(d, st).where(F.col("row_id") == rid).first()["nation_te"])
+    assert vals[0] == vals[1]

@@ -321,3 +321,22 @@ def q_ablation(spark, sf):
         r = MT.r2_rmse(pred, "pred", "rate").collect()[0]
         rows.append((i, "+".join(block), len(feats), float(r["r2"]), float(r["rmse"])))
     return spark.createDataFrame(rows, "step int, block string, n_features int, r2 double, rmse double")
+
+
+@query("flow_end_to_end")
+def q_flow(spark, sf):
+    """The whole run: features, imputation, folds, target statistics, OOF
+    learners for both tasks, convex blend, pseudo-labels, validated
+    prediction table (test rows)."""
+    from tabstack.plans.flow import run
+    sub, _ = run(spark, sf)
+    return sub
+
+
+@query("flow_cv_score")
+def q_flow_cv(spark, sf):
+    """CV summary of the whole run: accuracy, R^2, RMSE, combined score and
+    the blend weights."""
+    from tabstack.plans.flow import run
+    _, cv = run(spark, sf)
+    return cv

@@ -195,8 +195,15 @@ def value_counts_top(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFram
 
 
 def describe(df: DataFrame, target: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """count, mean, std, min, quartiles, max (box-plot five numbers)."""
+    """count, mean, std, min, quartiles, max (box-plot five numbers).
+
+    Exact quartiles keep a value->count map per group, so they are used only
+    when the target has a bounded number of distinct values; otherwise the
+    quartiles are ``percentile_approx`` (rank error 1e-5)."""
     y = F.col(target).cast("double")
+    if exact:
+        nd = one_row(df.agg(F.approx_count_distinct(y).alias("d")))["d"]
+        exact = nd <= EXACT_MAP_MAX_DISTINCT
     q = F.percentile(y, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(y, [0.25, 0.5, 0.75], 100000)
     return df.groupBy(*by).agg(F.count(y).alias("count"), F.avg(y).alias("mean"),
                                F.stddev_samp(y).alias("std"), F.min(y).alias("min"),

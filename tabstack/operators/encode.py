@@ -46,8 +46,14 @@ def ordinal_coverage(df: DataFrame, col: str, mapping: Mapping[str, int]) -> flo
 def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 8) -> dict[str, list]:
     """Distinct non-null levels of each column with at most ``max_levels``
     levels (exact ``count_distinct`` first, so the collected sets are bounded)."""
-    counts = one_row(df.agg(*[F.count_distinct(c).alias(c) for c in cols]))
-    small = [c for c in cols if counts[c] <= max_levels]
+    # cheap sketch first: only columns that can be small pay for an exact
+    # distinct count (each exact one is a distinct shuffle)
+    approx = one_row(df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]))
+    maybe = [c for c in cols if approx[c] <= 2 * max_levels + 2]
+    if not maybe:
+        return {}
+    counts = one_row(df.agg(*[F.count_distinct(c).alias(c) for c in maybe]))
+    small = [c for c in maybe if counts[c] <= max_levels]
     if not small:
         return {}
     sets = one_row(df.agg(*[F.collect_set(c).alias(c) for c in small]))

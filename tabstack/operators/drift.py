@@ -24,8 +24,8 @@ def adversarial_auc(df: DataFrame, features: Sequence[str], is_test: str, key: s
     a = auc(scored, "p1", is_test)
     imps = {}
     train = ML.assemble(d, features)
-    for f in range(k):
-        m = ML.rf_cls(seed + f, 30, 5).setLabelCol(is_test).fit(train.where(F.col("fold") != f))
+    models = ML.fit_folds(train, lambda f: ML.rf_cls(seed + f, 30, 5), is_test, "fold", list(range(k)))
+    for m in models.values():
         for name, v in zip(features, m.featureImportances.toArray()):
             imps[name] = imps.get(name, 0.0) + float(v) / k
     return a, sorted(imps.items(), key=lambda t: -t[1])

@@ -119,6 +119,15 @@ def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], featu
     return out
 
 
+def parallel(fn: Callable, items, workers: int | None = None) -> list:
+    """Run independent model fits as concurrent Spark jobs (driver threads;
+    the scheduler interleaves their tasks)."""
+    from concurrent.futures import ThreadPoolExecutor
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=workers or max(1, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 def fit_folds(d: DataFrame, make_estimator: Callable[[int], Estimator], label: str, fold: str,
               folds: Sequence[int], parallelism: int | None = None) -> dict:
     """Fit the K fold models (each on the other folds) as concurrent Spark
@@ -139,11 +148,14 @@ def binary_ovr_probs(df: DataFrame, features: Sequence[str], label: str, fold: s
     model per class (one-vs-rest) and the K positive-class probabilities are
     row-normalised."""
     base = df.select(key, fold, label, *features)
-    parts = None
-    for k in range(n_classes):
+
+    def one_class(k):
         d = base.withColumn("_yk", (F.col(label) == k).cast("double"))
-        o = oof_predict(d, lambda f, k=k: gbt_binary(seed + k, max_iter), features, "_yk", fold, kind="cls",
-                        n_classes=2, key=key, checkpoint=False).select(key, fold, F.col("p1").alias(f"q{k}"))
+        return oof_predict(d, lambda f: gbt_binary(seed + k, max_iter), features, "_yk", fold, kind="cls",
+                           n_classes=2, key=key).select(key, fold, F.col("p1").alias(f"q{k}"))
+
+    parts = None
+    for o in parallel(one_class, range(n_classes)):  # the K binary problems are independent jobs
         parts = o if parts is None else parts.join(o.drop(fold), key)
     tot = sum((F.col(f"q{k}") for k in range(1, n_classes)), F.col("q0"))
     out = parts.select(key, fold, *[(F.col(f"q{k}") / tot).alias(f"p{k}") for k in range(n_classes)])
@@ -238,10 +250,13 @@ def seed_average(preds: DataFrame, key: str = "row_id", values: Sequence[str] =
 
 def bagged(df: DataFrame, bags: dict, label: str, fold: str, kind: str = "reg", key: str = "row_id") -> DataFrame:
     """One model per column subset (feature bag), averaged."""
+    def one_bag(item):
+        s, feats = item
+        return oof_predict(df, lambda f: gbt_reg(1000 * s + f, 20), feats, label, fold, kind,
+                           key=key).withColumn("seed", F.lit(s))
+
     parts = None
-    for s, feats in bags.items():
-        o = oof_predict(df, lambda f, s=s: gbt_reg(1000 * s + f, 20), feats, label, fold, kind, key=key,
-                        checkpoint=False).withColumn("seed", F.lit(s))
+    for o in parallel(one_bag, bags.items()):
         parts = o if parts is None else parts.unionByName(o)
     return seed_average(parts, key)
 

@@ -176,11 +176,11 @@ def q_bagged(spark, sf):
 def q_seed_avg(spark, sf):
     """Same learner under three seeds, averaged per row."""
     d = _model_frame(spark, sf)
-    parts = None
-    for s in (42, 1337, 2024):
-        o = ML.oof_predict(d, lambda f, s=s: ML.rf_reg(s + f, 20), FEATS, "rate", "fold", "reg",
-                           checkpoint=False).withColumn("seed", F.lit(s))
-        parts = o if parts is None else parts.unionByName(o)
+    runs = ML.parallel(lambda s: ML.oof_predict(d, lambda f: ML.rf_reg(s + f, 20), FEATS, "rate", "fold", "reg")
+                       .withColumn("seed", F.lit(s)), (42, 1337, 2024))
+    parts = runs[0]
+    for o in runs[1:]:
+        parts = parts.unionByName(o)
     return ML.seed_average(parts)
 
 
@@ -287,11 +287,11 @@ def q_stage2(spark, sf):
     d = _model_frame(spark, sf)
     b1 = ML.oof_predict(d, lambda f: ML.rf_reg(42 + f, 20), FEATS, "rate", "fold", "reg").withColumnRenamed("pred", "b_rf")
     aug = d.join(b1.drop("fold"), "row_id")
-    parts = None
-    for s in (42, 1337, 2024):
-        o = ML.oof_predict(aug, lambda f, s=s: ML.gbt_reg(s + f, 15), FEATS + ["b_rf"], "rate", "fold", "reg",
-                           checkpoint=False).withColumn("seed", F.lit(s))
-        parts = o if parts is None else parts.unionByName(o)
+    runs = ML.parallel(lambda s: ML.oof_predict(aug, lambda f: ML.gbt_reg(s + f, 15), FEATS + ["b_rf"], "rate",
+                                                "fold", "reg").withColumn("seed", F.lit(s)), (42, 1337, 2024))
+    parts = runs[0]
+    for o in runs[1:]:
+        parts = parts.unionByName(o)
     return ML.seed_average(parts)
 
 

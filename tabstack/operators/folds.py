@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabstack.operators._util import bounded_broadcast
+
 BROADCAST_ROWS = 2_000_000  # size bound for broadcasting the offsets table
 
 
@@ -44,10 +46,10 @@ def assign_folds_stratified(df: DataFrame, key: str, k: int = 5, stratify: str |
         .orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*strat, "_fb",
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    # the offsets table has at most n_strata * 16**prefix_len rows: check the
-    # bound before broadcasting it.
-    n_off = offsets.count()
-    offsets = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
+    # the offsets table has at most n_strata * 16**prefix_len rows: it is
+    # persisted (the full-data count runs once) and broadcast after its row
+    # count is checked
+    offsets = bounded_broadcast(offsets, BROADCAST_ROWS)
     w_rank = Window.partitionBy(*strat, "_fb").orderBy("_fh", key)
     ranked = sel.withColumn("_rn", F.row_number().over(w_rank))
     ranked = ranked.join(offsets, on=[*strat, "_fb"], how="left")

@@ -3,7 +3,6 @@
 
 import hashlib
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tabstack.operators.folds import assign_folds_hash, assign_folds_stratified

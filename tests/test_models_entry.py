@@ -1,7 +1,6 @@
 """OOF invariants (each row once, out of fold) and the driver contract."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tabstack.operators import models as ML
 from tabstack.operators.linear import linear_prediction, ols_oof_coefficients

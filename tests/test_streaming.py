@@ -1,7 +1,6 @@
 """A fitted (batch) target encoding applied to a stream gives the same rows
 as the batch transform."""
 
-from pyspark.sql import functions as F
 
 from tabstack.operators.encode import apply_target_stats, fit_target_stats
 from tabstack.session import scratch_path

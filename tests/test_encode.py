@@ -122,3 +122,15 @@ def test_oof_prior_removes_own_label_entirely(spark):
                                  m=20.0, prior="oof")
         vals.append(EN.apply_target_stats(d, st).where(F.col("row_id") == rid).first()["nation_te"])
     assert vals[0] == vals[1]
+
+
+def test_quantiles_high_cardinality_branch(spark, monkeypatch):
+    from tabstack.operators import aggregates as A
+    from tabstack.sources.tables import read_table
+    from conftest import SF01
+    li = read_table(spark, SF01, "lineitem")
+    monkeypatch.setattr(A, "EXACT_MAP_MAX_DISTINCT", 10)  # force the bracketing selection
+    got = A.quantiles(li, ["l_extendedprice", "l_discount"], 0.995)
+    pdf = li.select("l_extendedprice", "l_discount").toPandas()
+    for c in got:
+        assert abs(got[c] - np.quantile(pdf[c].to_numpy(), 0.995)) <= 1e-9 * max(1.0, abs(got[c]))

@@ -30,11 +30,16 @@ def _block(col: str, n: int):
 
 def knn_candidates(query: DataFrame, ref: DataFrame, key: str, vec: str, k: int,
                    fold: str | None = "fold", payload: Sequence[str] = (),
-                   block_rows: int = 4096) -> DataFrame:
+                   block_rows: int | None = None) -> DataFrame:
     """(q_id, n_id, dist, payload...) -- the k nearest references of every
-    query (ties -> smaller neighbour id)."""
-    nq = max(1, math.ceil(query.count() / block_rows))
-    nr = max(1, math.ceil(ref.count() / block_rows))
+    query (ties -> smaller neighbour id).  ``block_rows=None`` sizes blocks to
+    about four per side, between 256 and 4096 rows (a 4096 x 4096 distance
+    block is 128 MB of doubles per task)."""
+    n_q, n_r = query.count(), ref.count()
+    if block_rows is None:
+        block_rows = min(4096, max(256, math.ceil(max(n_q, n_r) / 4)))
+    nq = max(1, math.ceil(n_q / block_rows))
+    nr = max(1, math.ceil(n_r / block_rows))
     fq = F.col(fold).cast("int") if fold else F.lit(None).cast("int")
     q = query.select(F.col(key).cast("long").alias("q_id"), fq.alias("q_fold"),
                      F.col(vec).cast("array<double>").alias("q_vec"))
@@ -68,15 +73,21 @@ def knn_candidates(query: DataFrame, ref: DataFrame, key: str, vec: str, k: int,
         dist = np.where(same, np.inf, dist)
         nid = rp["n_id"].to_numpy()
         kk = min(k, R.shape[0])
-        out = []
-        for i in range(Q.shape[0]):
-            order = np.lexsort((nid, dist[i]))[:kk]
-            order = order[np.isfinite(dist[i][order])]
-            part = {"q_id": np.full(len(order), qp["q_id"].iat[i]), "n_id": nid[order], "dist": dist[i][order]}
-            for c in payload:
-                part[c] = rp[c].to_numpy()[order]
-            out.append(pd.DataFrame(part))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: [] for c in cols})
+        # vectorised top-k with the (distance, id) tie rule: keep everything
+        # up to each row's k-th smallest distance (ties included), order by
+        # (row, distance, id) and cut at rank k inside each row
+        kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+        rows, cidx = np.nonzero((dist <= kth[:, None]) & np.isfinite(dist))
+        dsel, nsel = dist[rows, cidx], nid[cidx]
+        order = np.lexsort((nsel, dsel, rows))
+        rows, cidx, dsel, nsel = rows[order], cidx[order], dsel[order], nsel[order]
+        start = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
+        rank = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
+        keep = rank < kk
+        part = {"q_id": qp["q_id"].to_numpy()[rows[keep]], "n_id": nsel[keep], "dist": dsel[keep]}
+        for c in payload:
+            part[c] = rp[c].to_numpy()[cidx[keep]]
+        return pd.DataFrame(part, columns=cols)
 
     cands = q.groupBy("_pair").cogroup(r.groupBy("_pair")).applyInPandas(topk, schema)
     w = Window.partitionBy("q_id").orderBy("dist", "n_id")  # <= nr * k rows per query
@@ -85,7 +96,7 @@ def knn_candidates(query: DataFrame, ref: DataFrame, key: str, vec: str, k: int,
 
 def knn_target(query: DataFrame, ref: DataFrame, key: str, vec: str, k: int, target: str,
                label: str | None = None, classes: Sequence[int] = (), fold: str | None = "fold",
-               block_rows: int = 4096) -> DataFrame:
+               block_rows: int | None = None) -> DataFrame:
     """Per query: mean and population std of ``target`` over its k nearest
     references, and the share of each class of ``label``."""
     payload = [target] + ([label] if label else [])

@@ -48,7 +48,7 @@ def q_knn(spark, sf):
     rows all train rows; mean / population std of a target and class shares."""
     v = _vec(spark, sf)
     out = knn_target(v, v.where(F.col("split") == "train"), "vec_id", "embedding", K_NEIGHBOURS, "y",
-                     label="label", classes=range(10), fold="fold", block_rows=128)
+                     label="label", classes=range(10), fold="fold")
     return out.select("vec_id", q6("knn_mean").alias("knn_mean"), q6("knn_std").alias("knn_std"), "knn_n",
                       *[q6(f"knn_frac_{c}").alias(f"knn_frac_{c}") for c in range(10)])
 

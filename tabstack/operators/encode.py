@@ -150,13 +150,15 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
     names = list(names) if names else ["__".join(k) for k in key_sets]
     y = F.col(target).cast("double")
     b = (F.col(binary) if isinstance(binary, str) else binary) if binary is not None else F.lit(0)
-    g = one_row(train.agg(F.avg(y).alias("mu"), F.stddev_samp(y).alias("sd"),
-                          F.avg(b.cast("double")).alias("pmu"), F.count(F.lit(1)).alias("n")))
-    mu, sd, pmu = float(g["mu"]), float(g["sd"] or 0.0), float(g["pmu"] or 0.0)
+    # centring shift for the second-moment sums: any value of the target
+    # works (variances are shift-invariant; a data value keeps the sums small),
+    # and one row costs a limit(1) read instead of a global pass
+    first = train.select(y.alias("_y0")).where(F.col("_y0").isNotNull()).limit(1).collect()
+    shift = float(first[0]["_y0"]) if first else 0.0
     all_keys = sorted({k for ks in key_sets for k in ks})
     fcol = F.col(fold) if fold else F.lit(FULL)
     base = train.select(*all_keys, fcol.cast("int").alias("_f"),
-                        y.alias("_y"), (y - F.lit(mu)).alias("_c"), b.cast("double").alias("_b"))
+                        y.alias("_y"), (y - F.lit(shift)).alias("_c"), b.cast("double").alias("_b"))
     sums = [F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"), F.sum("_c").alias("_c1"),
             F.sum(F.col("_c") * F.col("_c")).alias("_c2"), F.sum("_b").alias("_sb")]
     if len(key_sets) == 1:
@@ -177,12 +179,18 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
     # the (key set, key, fold) sums are O(distinct keys x K) rows: keep them so
     # every key set is cut from the SAME scan instead of re-running it
     agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+    # global and per-fold totals come from that small table (every row is in
+    # each grouping set once): no second pass over the data
+    gid0 = [k for k, v in gids.items() if v == key_sets[0]][0]
+    per_fold = {r["_f"]: r for r in agg.where(F.col("_gid") == gid0).groupBy("_f").agg(
+        *[F.sum(c).alias(c) for c in ("_n", "_s", "_c1", "_c2", "_sb")]).collect()}  # K rows
+    N, S, C1, C2, SB = (float(sum(r[c] for r in per_fold.values())) for c in ("_n", "_s", "_c1", "_c2", "_sb"))
+    mu, pmu = S / N, SB / N
+    sd = math.sqrt(max((C2 - C1 * C1 / N) / (N - 1), 0.0)) if N > 1 else 0.0
     fold_mu = None
     if prior == "oof" and fold:
-        pf = {r["_f"]: (r["s"], r["b"], r["n"]) for r in base.groupBy("_f").agg(
-            F.sum("_y").alias("s"), F.sum("_b").alias("b"), F.count(F.lit(1)).alias("n")).collect()}  # K rows
-        S, Bt, N = (sum(v[i] for v in pf.values()) for i in range(3))
-        fold_mu = {f: ((S - s) / (N - n), (Bt - b) / (N - n)) for f, (s, b, n) in pf.items()}
+        fold_mu = {f: ((S - r["_s"]) / (N - r["_n"]), (SB - r["_sb"]) / (N - r["_n"]))
+                   for f, r in per_fold.items()}
     elif prior != "all":
         raise ValueError(prior)
     tables = {}

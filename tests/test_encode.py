@@ -134,3 +134,22 @@ def test_quantiles_high_cardinality_branch(spark, monkeypatch):
     pdf = li.select("l_extendedprice", "l_discount").toPandas()
     for c in got:
         assert abs(got[c] - np.quantile(pdf[c].to_numpy(), 0.995)) <= 1e-9 * max(1.0, abs(got[c]))
+
+
+def test_target_stats_deterministic_across_partitions(spark):
+    a = FX.acct_folds(spark, SF001)
+
+    def run():
+        st = EN.fit_target_stats(a.where(F.col("split") == "train"), ["nation", ["segment", "nation"]], "rate",
+                                 fold="fold", m=20.0, stats=("mean", "std"))
+        return EN.apply_target_stats(a, st).toPandas().set_index("row_id").sort_index()
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    eight = run()
+    cols = [c for c in one.columns if "_te" in c]
+    assert np.allclose(one[cols].to_numpy(), eight[cols].to_numpy(), rtol=1e-12, atol=1e-12)

@@ -24,8 +24,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def id_remainder(col: str, mod: int) -> Column:
-    """crc32(id as text) mod ``mod``: the fixed split rule of the learned operators."""
-    return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
+    """crc32(id as text) mod ``mod``: the fixed split rule of the learned operators (null id: empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
 
 
 def blocks_for(rows: int, per_block: int) -> int:

@@ -4,9 +4,9 @@ A pair of bytes that stands in no vocabulary token can never be merged, so
 every place where such a pair occurs is a certain cut: the fragments between
 cuts are encoded one by one and their ids concatenated.  Most fragments are
 words that return again and again, so each task keeps a bounded memo of
-fragment -> ids; a fragment that is not in it goes to the tokenizers library.
+fragment -> ids; a fragment that is not in it is merged by a library.
 
-The library first splits text by a pattern that looks ahead over white space
+The tokenizer first splits text by a pattern that looks ahead over white space
 and knows English contractions.  Cuts are therefore taken only where the split
 of the fragments equals the split of the whole text:
 
@@ -21,18 +21,27 @@ repeated results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabstack.llm.common import map_batches
+
 TOKENIZER = "byte_bpe_50k.json"
-MEMO_ENTRIES = 300_000   # fragments a task remembers before it starts afresh
+MEMO_ENTRIES = 200_000   # fragments a task remembers before it starts afresh
 MEMO_BYTES = 48          # longer fragments seldom return: not remembered
-OUT_BYTES = 8 << 20      # ids (as bytes) per output batch
+OUT_BYTES = 4 << 20      # ids (as bytes) per output batch
+
+#: Fixed value: how byte-level vocabularies of this kind split text.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG = 500               # bytes from which a fragment goes to the tokenizers library
 
 #: White space outside ASCII in UTF-8.
 _WIDE_SPACE = re.compile("[\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
@@ -81,6 +90,7 @@ class ForcedBoundaryCodec:
         cut[list(_ASCII_SPACE), :] = False
         self.cut = cut.ravel()
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.merge = self._merger()
         self.memo: dict[bytes, bytes] = {}
         self.memo_entries = memo_entries
 
@@ -102,10 +112,24 @@ class ForcedBoundaryCodec:
         # 0xFF stands in no UTF-8 text: marked there, the cuts are split in one call
         return np.insert(a, np.flatnonzero(forced) + 1, 0xFF).tobytes().split(b"\xff")
 
+    def _merger(self):
+        """A faster merger of the same vocabulary for short fragments, if ids are in merge order (so they are ranks)."""
+        model = json.loads(self.tok.to_str())["model"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if any(model["vocab"].get(a + b) != 256 + k for k, (a, b) in enumerate(pairs)):
+            return None
+        import tiktoken
+        ranks = {raw: i for i, raw in enumerate(self.token_bytes) if i not in self.special.values()}
+        return tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _ids(self, fragment: bytes) -> bytes:
+        text = fragment.decode("utf-8", "replace")
+        if self.merge is not None and len(fragment) < LONG:
+            return array("I", self.merge(text)).tobytes()
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+
     def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
-        texts = [m.decode("utf-8", "replace") for m in missing]
-        out = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return {m: np.array(e.ids, dtype="<u4").tobytes() for m, e in zip(missing, out)}
+        return {m: self._ids(m) for m in missing}
 
     def _encode_plain(self, text: str) -> list[bytes]:
         parts = self.fragments(text)
@@ -140,16 +164,22 @@ class ForcedBoundaryCodec:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def codec_of(path: str | None) -> ForcedBoundaryCodec:
+    """The codec of a worker process: its tasks load the vocabulary once and share the memo."""
+    return ForcedBoundaryCodec(path)
+
+
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """``id_col``, ``ids`` (array of int) and ``decoded`` (string) of every row.
 
-    A narrow transformation: no shuffle, each task loads the vocabulary once.
+    A narrow transformation: no shuffle, each worker process loads the vocabulary once.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = ForcedBoundaryCodec(path)
+        codec = codec_of(path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             start, size, raws, backs = 0, 0, [], []
@@ -167,4 +197,4 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                      names=["id", "ids", "decoded"])
                     start, size, raws, backs = k + 1, 0, [], []
 
-    return src.mapInArrow(run, f"id {id_type}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return map_batches(src, run, f"id {id_type}, ids array<int>, decoded string").withColumnRenamed("id", id_col)

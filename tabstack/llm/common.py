@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded by bytes: rows hold whole texts, some of them very long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 

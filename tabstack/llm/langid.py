@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabstack.llm.common import map_batches
+
 SYMBOLS = 64
 GRAMS = SYMBOLS ** 3
 SAMPLE_PER_LANG = 5_000
@@ -128,7 +130,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at), pa.array(v[at])],
                                              names=["lang", "gram", "n"])
 
-    counted = (sample.mapInArrow(count, "lang string, gram bigint, n bigint")
+    counted = (map_batches(sample, count, "lang string, gram bigint, n bigint")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())   # at most languages x 64^3 rows
     model = np.full((GRAMS, len(langs)), SMOOTHING)
     for j, k in enumerate(langs):
@@ -158,5 +160,5 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str =
                                               pa.array(sets, kind)], names=["row", "lang_pred", "score", "shares"])
 
     row = src.schema["row"].dataType.simpleString()
-    out = src.mapInArrow(run, f"row {row}, lang_pred string, score double, shares array<struct<lang:string,share:double>>")
+    out = map_batches(src, run, f"row {row}, lang_pred string, score double, shares array<struct<lang:string,share:double>>")
     return out.select("row.*", "lang_pred", "score", "shares")

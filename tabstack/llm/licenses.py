@@ -27,6 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabstack.llm.common import map_batches
+
 MIN_REDUCTION = 0.2     # bytes saved by the template, as a share of the block alone
 MAX_DIFFERENCES = 0.1   # changed words, as a share of the template's
 BRIDGE = 3              # sentences without a cue that a block may hold between two with one
@@ -173,4 +175,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.list_(pa.string())), pa.array(found, kind)], names=["id", "licenses", "findings"])
 
     schema = f"id {id_type}, licenses array<string>, findings array<struct<license:string,start:bigint,length:bigint,reduction:double,differences:bigint>>"
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_batches(src, run, schema).withColumnRenamed("id", id_col)

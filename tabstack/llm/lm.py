@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabstack.llm.common import materialise
+from tabstack.llm.common import map_batches, materialise
 
 ADD = 0.1
 CHUNK_TOKENS = 400_000
@@ -95,7 +95,7 @@ def chunk_table(docs: DataFrame, train: Column, id_col: str, text_col: str, chun
         if keys:
             yield emit()
 
-    return src.mapInArrow(run, f"chunk bigint, tokens bigint, ids array<{id_type}>, train array<boolean>, sizes array<int>, "
+    return map_batches(src, run, f"chunk bigint, tokens bigint, ids array<{id_type}>, train array<boolean>, sizes array<int>, "
                                "words binary, hashes binary")
 
 
@@ -244,7 +244,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                      pa.array([x[2] for x in own], pa.binary()), pa.array([x[3] for x in own], pa.binary())],
                     names=["chunk", "kind", "bucket", "keys", "counts"])
 
-    asked = chunks.select("chunk", "train", "sizes", "words", "hashes").mapInArrow(
+    asked = map_batches(chunks.select("chunk", "train", "sizes", "words", "hashes"),
         ask, "chunk bigint, kind string, bucket int, keys binary, counts binary")
     answers = materialise(asked.groupBy("kind", "bucket").applyInPandas(
         _add_up, "chunk bigint, kind string, bucket int, totals binary, used bigint, sum bigint"), "lm-counts")
@@ -272,7 +272,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["cell", "n"])
 
     cells = np.zeros(CLASSES * BINS)
-    for r in met.select("ratios").mapInArrow(add, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    for r in map_batches(met.select("ratios"), add, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         cells[r.cell] = r.n     # at most CLASSES x BINS rows
     weights = fit_lambda(cells.reshape(CLASSES, BINS))
 
@@ -295,6 +295,6 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                      pa.array(np.add.reduceat(steps, chunk.start))],
                     names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return met.select("ids", "train", "sizes", "words", "hashes", "word", "pair").mapInArrow(
+    return map_batches(met.select("ids", "train", "sizes", "words", "hashes", "word", "pair"),
         walk, f"id {id_type}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     ).withColumnRenamed("id", id_col)

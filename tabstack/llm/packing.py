@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabstack.llm.bpe import OUT_BYTES, ForcedBoundaryCodec
-from tabstack.llm.common import blocks_for, materialise
+from tabstack.llm.bpe import OUT_BYTES, codec_of
+from tabstack.llm.common import blocks_for, map_batches, materialise
 
 WINDOW = 2048
 END_ID = 1
@@ -45,7 +45,7 @@ def cut_documents(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, i
     step, tail = 4 * window, np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = ForcedBoundaryCodec(path)
+        codec = codec_of(path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             rows, starts, parts, totals, size = [], [], [], [], 0
@@ -66,7 +66,7 @@ def cut_documents(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, i
                     rows, starts, parts, totals, size = [], [], [], [], 0
 
     schema = f"id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint"
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_batches(src, run, schema).withColumnRenamed("id", id_col)
 
 
 class CapacityTree:

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabstack.llm.common import map_batches
+
 SAMPLE_PER_CLASS = 10_000
 VOCABULARY = 4096
 MIN_DF = 4
@@ -152,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     p0, p1 = (F.col("n0") + 0.5) / (t0 + 1), (F.col("n1") + 0.5) / (t1 + 1)
     odds = F.log(p1) - F.log(p0)
     contrast = F.abs(odds) / F.sqrt(1 / (F.col("n0") + 0.5) + 1 / (F.col("n1") + 0.5))
-    best = (texts.mapInArrow(count, "word string, n0 bigint, n1 bigint").groupBy("word")
+    best = (map_batches(texts, count, "word string, n0 bigint, n1 bigint").groupBy("word")
             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
             .filter((F.col("n0") + F.col("n1") >= MIN_DF) | F.col("word").isin(*table))
             .orderBy(F.col("word").isin(*table).desc(), contrast.desc(), "word").limit(vocabulary).collect())
@@ -171,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(plain, kind), pa.array(other, kind)], names=["y", "plain", "other"])
 
-    rows = texts.mapInArrow(encode, "y int, plain array<int>, other array<int>").toPandas()
+    rows = map_batches(texts, encode, "y int, plain array<int>, other array<int>").toPandas()
     # a fixed order: the sums of the fit do not depend on task order
     rows = rows.assign(key=[zlib.crc32(np.asarray(x, np.int32).tobytes()) for x in rows["plain"]]).sort_values(["key", "y"], kind="stable")
     y = rows["y"].to_numpy(np.float64)
@@ -192,4 +194,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(scores, pa.float64())], names=["row", "score"])
 
     row = src.schema["row"].dataType.simpleString()
-    return src.mapInArrow(run, f"row {row}, score double").select("row.*", "score")
+    return map_batches(src, run, f"row {row}, score double").select("row.*", "score")

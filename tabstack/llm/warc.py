@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabstack.llm.common import map_batches
 from tabstack.session import scratch_path
 
 #: Fixed values of the formats.
@@ -159,7 +160,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
-    frames = rows.mapInArrow(run, "frame binary")
+    frames = map_batches(rows, run, "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
 
 
@@ -187,7 +188,7 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "bigint") -> Da
                 cols = list(zip(*found)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    out = src.mapInArrow(run, "page string, url string, payload_bytes bigint, payload_digest string, record_type string, refers string")
+    out = map_batches(src, run, "page string, url string, payload_bytes bigint, payload_digest string, record_type string, refers string")
     return out.select(F.col("page").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       F.col("refers").cast(id_type).alias("refers_to"), "url")
 

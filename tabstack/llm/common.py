@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,3 +43,14 @@ def id_remainder(col: str, mod: int) -> Column:
 def blocks_for(rows: int, per_block: int) -> int:
     """How many blocks of about ``per_block`` rows hold ``rows`` rows."""
     return max(1, -(-rows // per_block))
+
+
+def range_of(value: Column, bounds: list) -> Column:
+    """How many of the sorted ``bounds`` are at most ``value`` (null: none), in about 2 sqrt(n) comparisons."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(bounds)))
+    every, top = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds[step - 1::step]))
+    group = F.size(F.filter(top, lambda x: x <= value)) * step
+    return F.when(value.isNull(), F.lit(0)).otherwise(
+        group + F.size(F.filter(F.slice(every, group + 1, step), lambda x: x <= value)))

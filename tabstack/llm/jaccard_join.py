@@ -34,11 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.llm.common import map_batches, materialise
-from tabstack.llm.spotsigs import range_of
+from tabstack.llm.common import map_batches, materialise, range_of
 
 BAND_RATIO = 1.5
 STAR_ROUNDS = 3
@@ -53,7 +52,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
     n = min(words, len(h))
-    out = np.full(len(h) - n + 1, np.uint64(n) * np.uint64(0x9E3779B97F4A7C15))
+    out = np.full(len(h) - n + 1, np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64)))
     for k in range(n):
         out = (out ^ h[k: len(h) - n + 1 + k]) * np.uint64(0xD6E8FEB86659FD93)
         out ^= out >> np.uint64(32)
@@ -73,11 +72,10 @@ def max_difference(size_sum: int, percent: int) -> int:
 
 
 def band_edges(limit: int, ratio: float = BAND_RATIO) -> list[int]:
-    """Sizes at which bands 1, 2, .. start; band 0 starts at 1."""
-    out, at = [], 2
-    while at <= limit:
-        out.append(at)
-        at = max(at + 1, int(at * ratio))
+    """Sizes at which bands 1, 2, .. start (band 0 starts at 1); the last lies above ``limit``."""
+    out = [2]
+    while out[-1] <= limit:
+        out.append(max(out[-1] + 1, int(out[-1] * ratio)))
     return out
 
 
@@ -87,9 +85,9 @@ class Plan:
     def __init__(self, low: int, high: int, bound: int, sets: int):
         self.low, self.high, self.bound = low, high, bound
         size = (low + high) / 2
-        best = min(range(0, bound // 2 + 1), key=lambda d: (self.cost(d, size, sets), d)) if bound <= 64 else min(
-            range(0, bound // 2 + 1, max(1, bound // 64)), key=lambda d: (self.cost(d, size, sets), d))
-        self.d, self.m = best, bound + 1 - best
+        tried = range(0, bound // 2 + 1, max(1, bound // 64))
+        self.d = min(tried, key=lambda d: (self.cost(d, size, sets), d))
+        self.m = bound + 1 - self.d
 
     def cost(self, d: int, size: float, sets: int) -> float:
         """Index entries plus expected chance meetings: both subsets empty, or within a deletion of empty."""
@@ -120,7 +118,7 @@ def instances_of(size: int, edges: list[int], percent: int) -> list[int]:
     """Instances a set of ``size`` takes part in: 2 k for band k, 2 k + 1 for the edge above it."""
     k = int(np.searchsorted(edges, size, side="right"))
     out = [2 * k]
-    if k < len(edges) and size * 100 >= edges[k] * percent:      # may meet larger sets of the next band
+    if size * 100 >= edges[k] * percent:                         # may meet larger sets of the next band
         out.append(2 * k + 1)
     if k and size * percent <= (edges[k - 1] - 1) * 100:         # may meet smaller ones of the band before
         out.append(2 * k - 1)
@@ -130,13 +128,12 @@ def instances_of(size: int, edges: list[int], percent: int) -> list[int]:
 def make_plans(counts: dict[int, int], edges: list[int], percent: int) -> dict[int, Plan]:
     """A plan for each instance; ``counts`` has the number of sets in each band."""
     plans = {}
-    for k in range(len(edges) + 1):
-        low, high = (edges[k - 1] if k else 1), (edges[k] - 1 if k < len(edges) else 0)
-        if high:
-            plans[2 * k] = Plan(low, high, max_difference(2 * high, percent), counts.get(k, 0))
-            above = high * 100 // percent
-            near = -(-edges[k] * percent // 100)
-            plans[2 * k + 1] = Plan(near, above, max_difference(high + above, percent), (counts.get(k, 0) + counts.get(k + 1, 0)) // 2)
+    for k, edge in enumerate(edges):
+        low, high = (edges[k - 1] if k else 1), edge - 1
+        plans[2 * k] = Plan(low, high, max_difference(2 * high, percent), counts.get(k, 0))
+        above = high * 100 // percent
+        plans[2 * k + 1] = Plan(-(-edge * percent // 100), above, max_difference(high + above, percent),
+                                (counts.get(k, 0) + counts.get(k + 1, 0)) // 2)
     return plans
 
 
@@ -182,23 +179,25 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _index(docs: DataFrame, words: int, edges: list[int], plans: dict[int, Plan], percent: int) -> DataFrame:
-    """``entry, key`` for every index entry of every row."""
+    """``entry, key`` for every index entry of every set; a task emits equal sets once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(parts, keys):
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(keys).view(np.int64))],
                                               names=["entry", "key"])
+        done: set[int] = set()
         for b in batches:
             parts, keys, size = [], [], 0
             for text in b.column(1):
                 s = shingles(text.as_py(), words)
-                if not len(s):
+                key = xxhash.xxh64_intdigest(s.tobytes())
+                if not len(s) or key in done:
                     continue
-                key = np.uint64(xxhash.xxh64_intdigest(s.tobytes()))
+                done.add(key)
                 for i in instances_of(len(s), edges, percent):
                     if plans[i].bound:      # without a difference to bear, only equal sets link
                         own = plans[i].entries(s, i)
                         parts.append(own)
-                        keys.append(np.full(len(own), key))
+                        keys.append(np.full(len(own), key, np.uint64))
                         size += len(own)
                 if size >= 1 << 19:
                     yield out(parts, keys)
@@ -223,11 +222,44 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return map_batches(docs, run, "key bigint, items array<bigint>")
 
 
-def _may_link(x: str, y: str, percent: int) -> Column:
-    """Exact bound: sizes and parity sketches of ``x`` and ``y`` allow a link."""
-    distance = sum((F.bit_count(F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
-    na, nb = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (distance * (100 + percent) <= (na + nb) * (100 - percent))
+def _may_link(percent: int) -> Column:
+    """Exact bound: sizes and parity sketches of the rows ``x`` and ``y`` allow a link."""
+    distance = sum((F.bit_count(F.col(f"x.s{k}").bitwiseXOR(F.col(f"y.s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
+    return ((F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+            & (distance * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+
+
+def _links(pairs: DataFrame, narrow: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that link: the bound first, then the sets themselves."""
+    near = (pairs.join(narrow.alias("x"), F.col("a") == F.col("x.key")).join(narrow.alias("y"), F.col("b") == F.col("y.key"))
+            .filter(_may_link(percent)).select("a", "b", (F.col("x.n") + F.col("y.n")).alias("both")))
+    found = (near.join(items.select(F.col("key").alias("a"), F.col("items").alias("ia")), "a")
+             .join(items.select(F.col("key").alias("b"), F.col("items").alias("ib")), "b"))
+    common = F.size(F.array_intersect("ia", "ib"))
+    return found.filter(common * 100 >= (F.col("both") - common) * percent).select("a", "b")
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _open_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of the buckets whose members lie in several components, with their component."""
+    rows = shared.join(parts.select(F.col("id").alias("key"), "component"), "key", "left").select(
+        "entry", "key", "members", F.coalesce("component", "key").alias("component"))
+    mixed = rows.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    return rows.join(mixed.select("entry"), "entry")
+
+
+def _cross_pairs(rows: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket from different components that may link; large buckets meet in blocks."""
+    blocks = F.ceil(F.col("members") / BUCKET_BLOCK).cast("int")
+    full = rows.join(narrow, "key")
+    x = full.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int")).alias("x")
+    y = full.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).alias("y")
+    met = (F.col("x.entry") == F.col("y.entry")) & (F.col("x.block") == F.col("y.block"))
+    apart = (F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+    return x.join(y, met & apart & _may_link(percent)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,57 +267,50 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marks = [f"s{k}" for k in range(SKETCH_WORDS)]
     profile = materialise(_profile(src, words), "profiles")
-    classes = materialise(profile.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in marks]), "classes")
-    largest = classes.agg(F.max("n")).first()[0] or 0
-    edges = band_edges(largest + 1)
-    edges.append(max([largest + 1, *edges]) + 1)
-    counts = {r.band: r.sets for r in classes.groupBy(range_of(F.col("n"), edges).alias("band")).agg(F.count(F.lit(1)).alias("sets")).collect()}
-    plans = make_plans(counts, edges, percent)
-
-    index = _index(src, words, edges, plans, percent).distinct()
-    bucket = index.groupBy("entry").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = materialise(index.join(bucket, "entry"), "index-shared")
+    sets = profile.filter("n > 0")
+    classes = materialise(sets.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in marks]), "classes")
+    edges = band_edges(classes.agg(F.max("n")).first()[0] or 0)
+    bands = classes.groupBy(range_of(F.col("n"), edges).alias("band")).agg(F.count(F.lit(1)).alias("sets")).collect()   # a row per band
+    plans = make_plans({r.band: r.sets for r in bands}, edges, percent)
+
+    # one exchange by entry serves the removal of repeats and the count
+    index = _index(src, words, edges, plans, percent).repartition("entry").dropDuplicates(["entry", "key"])
+    members = F.count(F.lit(1)).over(Window.partitionBy("entry"))
+    shared = materialise(index.withColumn("members", members).filter("members > 1"), "index")
+
     company = shared.groupBy("key").agg(F.sum(F.col("members") - 1).alias("company"))
-    ranked = materialise(shared.join(company, "key").groupBy("entry").agg(
-        F.slice(F.array_sort(F.collect_set(F.struct((-F.col("company")).alias("c"), "key"))), 1, STAR_ROUNDS).alias("hubs"),
-        F.first("members").alias("members")) if False else _hubs(shared, company), "hubs")
-
-    full = materialise(classes.join(shared.select("key").distinct(), "key"), "classes-shared")
-    items = materialise(_sets(src.join(full.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi"), words)
-                        .join(full.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
-    narrow = full.select("key", "n", *marks)
-
-    def links(pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b) that link."""
-        x, y = narrow.select([F.col(c).alias(f"x_{c}") for c in narrow.columns]), narrow.select([F.col(c).alias(f"y_{c}") for c in narrow.columns])
-        near = pairs.join(x, F.col("a") == F.col("x_key")).join(y, F.col("b") == F.col("y_key"))
-        near = near.select("a", "b", F.struct(*[F.col(f"x_{c}").alias(c) for c in ["n", *marks]]).alias("x"), F.struct(*[F.col(f"y_{c}").alias(c) for c in ["n", *marks]]).alias("y"))
-        near = near.filter(_may_link("x", "y", percent)).select("a", "b", (F.col("x.n") + F.col("y.n")).alias("both"))
-        found = (near.join(items.select(F.col("key").alias("a"), F.col("items").alias("ia")), "a")
-                 .join(items.select(F.col("key").alias("b"), F.col("items").alias("ib")), "b"))
-        common = F.size(F.array_intersect("ia", "ib"))
-        return found.filter(common * 100 >= (F.col("both") - common) * percent).select("a", "b")
-
-    linked, parts = None, None
-    open_rows = shared.select("entry", "key", "members")
+    place = F.row_number().over(Window.partitionBy("entry").orderBy(F.desc("company"), "key"))
+    hubs = materialise(shared.join(company, "key").withColumn("place", place).filter(F.col("place") <= STAR_ROUNDS)
+                       .select("entry", F.col("key").alias("hub"), "place"), "hubs")
+    narrow = materialise(classes.join(company.select("key"), "key").select("key", "first", "n", *marks), "classes-shared")
+    firsts = narrow.select(F.col("first").alias("_first")).distinct()
+    texts = src.join(firsts, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    items = materialise(_sets(texts, words).dropDuplicates(["key"]), "sets")
+
+    twice = sets.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("high")).filter("a != high and doc_id is not null")
+    linked = materialise(sets.join(twice, "doc_id").select("a", F.col("key").alias("b")).filter("a != b").distinct(), "links")
+    rows = shared.withColumn("component", F.col("key"))
     for turn in range(STAR_ROUNDS):
-        hubs = ranked.filter(F.col("place") == turn + 1).select("entry", F.col("key").alias("hub"))
-        pairs = (open_rows.join(hubs, "entry").filter("key != hub")
-                 .select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct())
-        if parts is not None:   # joined already
-            pairs = _apart(pairs, parts)
-        new = materialise(links(pairs), "links")
-        linked = new if linked is None else linked.unionByName(new)
+        star = rows.join(hubs.filter(F.col("place") == turn + 1), "entry").filter("key != hub").select(*_pair("key", "hub")).distinct()
+        linked = linked.unionByName(materialise(_links(star, narrow, items, percent), "links"))
         parts = materialise(components(linked), "components")
-        open_rows = materialise(_open_buckets(shared, parts), "open")
-    rest = _cross_pairs(open_rows, narrow, percent)
-    linked = linked.unionByName(materialise(links(rest), "links"))
+        rows = materialise(_open_buckets(shared, parts), "open")
+        if rows.isEmpty():
+            break
+    rest = _cross_pairs(rows, narrow.drop("first"), percent)
+    linked = linked.unionByName(materialise(_links(rest, narrow, items, percent), "links"))
     parts = components(linked)
 
     placed = classes.select("key", "first").join(parts.select(F.col("id").alias("key"), "component"), "key", "left").select(
         "key", "first", F.coalesce("component", "key").alias("component"))
-    # ids tie classes together too: rows of one id are one document
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
     named = placed.join(smallest, "component").select("key", "component_id")
     out = profile.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key")).join(named, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the rows that another document of their component (a smaller id) stands for; of rows of equal id all stay."""
+    members = jaccard_components(docs, words, percent)
+    gone = members.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstack.llm import bpe, langid, licenses, lm, packing, spotsigs, toxicity, warc
+from tabstack.llm import ann, bpe, jaccard_join, langid, licenses, lm, packing, spotsigs, toxicity, warc
 from tabstack.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -20,12 +20,10 @@ gives an empty result.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.llm.common import blocks_for, materialise
+from tabstack.llm.common import blocks_for, materialise, range_of
 
 CHAIN = 2       # content words behind an anchor
 MAX_GAP = 6     # common words passed over between two content words
@@ -79,17 +77,6 @@ def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
     return F.when(large == 0, F.lit(1.0)).when(small < large * at_least, F.lit(0.0)).otherwise(exact).cast("double")
 
 
-def range_of(value: Column, bounds: list) -> Column:
-    """How many of the sorted ``bounds`` are at most ``value`` (null: none), in about 2 sqrt(n) comparisons."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(bounds)))
-    every, top = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds[step - 1::step]))
-    group = F.size(F.filter(top, lambda x: x <= value)) * step
-    return F.when(value.isNull(), F.lit(0)).otherwise(
-        group + F.size(F.filter(F.slice(every, group + 1, step), lambda x: x <= value)))
-
-
 def with_next(docs: DataFrame, id_col: str, text_col: str, carry: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` (``id_col``, ``text_col`` and ``carry``) with ``next_<c>`` of the next row by id, the first after the last.
 

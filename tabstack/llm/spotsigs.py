@@ -11,7 +11,7 @@ a set is indexed by its rarest hashes only (the prefix that any partner must
 share); the length bound prunes pairs before they are compared exactly.
 
 Edge cases: null text counts as empty.  A text without any spot has the hash
-of its whole normalised text as its only signature; an empty text has none.
+of all its words as its only signature; an empty text has none.
 Two empty sets are alike (1), an empty and another one are not (0).  Null ids
 sort first.  Rows of equal id are ordered by a hash of their text.  The next
 document of the last is the first; of a single one, itself.  An empty table
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from tabstack.llm.common import blocks_for, materialise, range_of
 
 CHAIN = 2       # content words behind an anchor
-MAX_GAP = 6     # common words passed over between two content words
 HASH_BITS = 40
 ROWS_PER_RANGE = 4_000
 
@@ -36,32 +35,34 @@ ANCHORS = ("a an the is are was were be been that this it of and to in on for wi
            "le la les un une des du de est sont et que en dans pour qui "
            "el los las una es son y por para con del se no").split()
 
-_WORD = r"[\p{L}\p{M}\p{N}]"
-_GAP = r"[^\p{L}\p{M}\p{N}]{1,40}+"
+_GAP = r"[^\p{L}\p{M}\p{N}]+"
 
 
-def spot_pattern(anchors=ANCHORS, chain: int = CHAIN, max_gap: int = MAX_GAP) -> tuple[str, str]:
-    """Regular expressions of a spot (seen by look-ahead, so spots may overlap) and of what is passed over in one."""
-    anchor = "(?:" + "|".join(sorted(set(anchors), key=lambda w: (-len(w), w))) + rf")(?!{_WORD})"
-    passed = f"(?:{_GAP}{anchor}){{0,{max_gap}}}+"
-    spot = rf"(?<!{_WORD})(?=({anchor}" + f"(?:{passed}{_GAP}(?!{anchor}){_WORD}++)" * chain + "))"
-    return spot, f"(?:{_GAP}{anchor})+(?={_GAP})"
+def with_signatures(df: DataFrame, text_col: str, out_col: str, anchors=ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """``df`` with the sorted distinct signature hashes of ``text_col`` (array of bigint).
 
-
-def signatures(text: Column, anchors=ANCHORS, chain: int = CHAIN, max_gap: int = MAX_GAP) -> Column:
-    """Sorted distinct signature hashes of ``text`` (array of bigint)."""
-    spot, passed = spot_pattern(anchors, chain, max_gap)
-    lower = F.lower(text)
-    spots = F.regexp_extract_all(lower, F.lit(spot), F.lit(1))
-    mask = (1 << HASH_BITS) - 1
-
-    def key(s: Column) -> Column:
-        return F.xxhash64(F.regexp_replace(s, f"(?:{passed})|(?:{_GAP})", " ")).bitwiseAND(F.lit(mask))
-
-    whole = F.xxhash64(F.regexp_replace(lower, r"\s+", " ")).bitwiseAND(F.lit(mask))
-    found = F.sort_array(F.array_distinct(F.transform(spots, key)))
+    In steps, since each reads the step before many times: the words, the
+    places of the content words, and for each content word the anchors right
+    before it, hashed with it and its successors.
+    """
+    kept, mask = df.columns, (1 << HASH_BITS) - 1
+    text = F.col(text_col)
+    df = df.withColumn("_words", F.filter(F.split(F.lower(text), _GAP), lambda w: w != ""))
+    places = F.transform("_words", lambda w, i: F.when(w.isin(*anchors), F.lit(-1)).otherwise(i))
+    df = df.withColumn("_content", F.filter(places, lambda i: i >= 0))
+
+    def spots(k: Column) -> Column:
+        here = F.get("_content", k)
+        before = F.when(k > 0, F.get("_content", k - 1)).otherwise(F.lit(-1))
+        follow = [F.get("_words", F.get("_content", k + j)) for j in range(chain)]
+        return F.transform(F.slice("_words", before + 2, here - before - 1), lambda a: F.xxhash64(a, *follow).bitwiseAND(F.lit(mask)))
+
+    last = F.size("_content") - chain
     none = F.array().cast("array<bigint>")
-    return F.when(F.length(text) == 0, none).when(F.size(spots) == 0, F.array(whole)).otherwise(found)
+    df = df.withColumn("_spots", F.when(last < 0, none).otherwise(F.flatten(F.transform(F.sequence(F.lit(0), last), spots))))
+    whole = F.when(F.length(text) == 0, none).otherwise(F.array(F.xxhash64(F.array_join("_words", " ")).bitwiseAND(F.lit(mask))))
+    sigs = F.when(F.size("_spots") == 0, whole).otherwise(F.sort_array(F.array_distinct("_spots")))
+    return df.select(*kept, sigs.alias(out_col))
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -109,12 +110,12 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, carry: list[str], row
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text, of its edited text, and their likeness to the text's own and the next document's."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_next(src.withColumn("sigs", signatures(F.col("text"))), "doc_id", "text", ["text", "sigs"])
+    rows = with_next(with_signatures(src, "text", "sigs"), "doc_id", "text", ["text", "sigs"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select("doc_id", "sigs", "next_sigs", n.cast("long").alias("n_chars"), edited.alias("edited"))
-    rows = rows.select("*", signatures(F.col("edited")).alias("edited_sigs"))
+    rows = with_signatures(rows, "edited", "edited_sigs")
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        fingerprint(F.col("sigs")).alias("fingerprint"), fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
                        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
@@ -130,7 +131,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     and take part in no pair.
     """
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = materialise(src.select("id", signatures(F.col("text")).alias("sigs")).withColumn("_key", F.sha2(F.array_join("sigs", ",").cast("binary"), 256)), "spots")
+    sets = materialise(with_signatures(src, "text", "sigs").select("id", "sigs").withColumn("_key", F.sha2(F.array_join("sigs", ",").cast("binary"), 256)), "spots")
     classes = sets.groupBy("_key").agg(F.min("id").alias("class_id"), F.first("sigs").alias("sigs"))
     member = sets.select("id", "_key").join(classes.select("_key", "class_id"), "_key").select("id", "class_id")
     held = materialise(classes.filter(F.size("sigs") > 0).select(F.col("class_id").alias("c"), "sigs", F.size("sigs").alias("n")), "spot-sets")

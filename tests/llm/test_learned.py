@@ -37,7 +37,7 @@ def test_em_finds_the_mixture():
 def test_language_edge_rows(spark, docs_of):
     docs = docs_of([(1, "the cat and the dog"), (2, None), (3, ""), (4, "12 34 !!"), (4, "12 34 !!"), (None, "the dog"), (5, "x" * 50_000)])
     langs, model = langid.fit(docs.withColumn("lang", F.when(F.col("doc_id") == 1, "en")), F.lit(True))
-    got = sorted((r.doc_id or 0, r.lang_pred, r.score) for r in langid.predict(docs.withColumn("score", F.lit("clash")).drop("score"), langs, model).collect())
+    got = sorted((r.doc_id or 0, r.lang_pred, r.score) for r in langid.predict(docs.withColumn("score", F.lit("clash")), langs, model).collect())
     assert got == [(0, "en", 1.0), (1, "en", 1.0), (2, "und", 0.0), (3, "und", 0.0), (4, "und", 0.0), (4, "und", 0.0), (5, "en", 1.0)]
     none = langid.fit(docs.limit(0), F.lit(True))
     assert none[0] == [] and {r.lang_pred for r in langid.predict(docs, *none).collect()} == {"und"}
@@ -76,11 +76,12 @@ def test_swap_penalty_evens_out_identity_terms():
 
 
 def test_toxicity_edge_rows(spark, docs_of):
-    docs = docs_of([(k, "you idiot moron" if k % 2 else "a fine day") for k in range(40)] + [(100, None), (101, ""), (None, "idiot"), (7, "you idiot moron")])
+    docs = docs_of([(k, "you idiot moron" if k % 2 else "a fine day") for k in range(40)] + [(100, None), (101, ""), (None, "you idiot moron"), (7, "you idiot moron")])
     labels = spark.createDataFrame([(k, 1, k % 2) for k in range(40)] + [(100, None, None), (3, 0, None), (5, 0, 0)], "doc_id long, quality int, toxic int")
     model = toxicity.fit(docs, labels, F.lit(True))
-    got = toxicity.score(docs.withColumnRenamed("source", "score").drop("score"), model).collect()
-    assert len(got) == 44 and all((r.score >= 0.5) == ((r.doc_id or 1) % 2 == 1 and r.doc_id not in (100, 101)) for r in got)
+    got = toxicity.score(docs.withColumn("score", F.lit("clash")), model).collect()
+    assert len(got) == 44 and len({r.score for r in got if r.doc_id in (100, 101)}) == 1
+    assert all((r.score >= 0.5) == ((1 if r.doc_id is None else r.doc_id) % 2 == 1) for r in got if r.doc_id not in (100, 101))
     flat = toxicity.fit(docs, labels.limit(0), F.lit(True))
     assert {round(r.score, 6) for r in toxicity.score(docs, flat).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), model).count() == 0

@@ -77,7 +77,7 @@ def test_every_linked_pair_shares_an_entry():
     rng = np.random.default_rng(4)
     for percent in (60, 80, 85, 95):
         edges = J.band_edges(3000)
-        plans = J.make_plans({k: 10_000 for k in range(len(edges) + 1)}, edges, percent)
+        plans = J.make_plans({k: 10_000_000 for k in range(len(edges) + 1)}, edges, percent)
         assert any(p.d for p in plans.values()) or percent > 90
         for _ in range(150):
             n = int(np.exp(rng.uniform(0, np.log(2500))))

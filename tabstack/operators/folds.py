@@ -17,9 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.operators._util import bounded_broadcast
-
-BROADCAST_ROWS = 2_000_000  # size bound for broadcasting the offsets table
+from tabstack.operators._util import bounded_broadcast, null_safe_join
 
 
 def fold_hash_key(key: str, seed: int = 42) -> Column:
@@ -47,12 +45,12 @@ def assign_folds_stratified(df: DataFrame, key: str, k: int = 5, stratify: str |
     offsets = counts.select(*strat, "_fb",
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     # the offsets table has at most n_strata * 16**prefix_len rows: it is
-    # persisted (the full-data count runs once) and broadcast after its row
-    # count is checked
-    offsets = bounded_broadcast(offsets, BROADCAST_ROWS)
+    # persisted (the full-data count runs once) and broadcast after its size
+    # is checked; a NULL stratum is a stratum of its own
+    offsets = bounded_broadcast(offsets)
     w_rank = Window.partitionBy(*strat, "_fb").orderBy("_fh", key)
     ranked = sel.withColumn("_rn", F.row_number().over(w_rank))
-    ranked = ranked.join(offsets, on=[*strat, "_fb"], how="left")
+    ranked = null_safe_join(ranked, offsets, [*strat, "_fb"])
     ranked = ranked.withColumn(fold_col, ((F.col("_off") + F.col("_rn") - 1) % k).cast("int"))
     out_cols = [c for c in df.columns if c != fold_col] + [fold_col]
     rest = d.filter(~F.col("_fe")).withColumn(fold_col, F.lit(None).cast("int"))

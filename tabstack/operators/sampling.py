@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.operators._util import bounded_broadcast
+from tabstack.operators._util import bounded_broadcast, null_safe_join
 
 
 def topk_confidence(df: DataFrame, conf: str | Column, n: int, threshold: float,
@@ -45,17 +45,16 @@ def stratified_sample(df: DataFrame, stratum: str, k: int, key: str = "row_id",
     frac = F.least(F.lit(1.0), (F.lit(safety * k) + F.lit(32.0)) / F.col("_cnt"))
     thr = counts.select(stratum, "_cnt", F.ceil(frac * F.lit(float(2 ** 32))).cast("long").alias("_thr"))
     thr = bounded_broadcast(thr)
-    cand = d.join(thr, on=stratum, how="inner").where(F.col("_u") < F.col("_thr"))
+    cand = null_safe_join(d, thr, [stratum]).where(F.col("_u") < F.col("_thr"))
     w = Window.partitionBy(stratum).orderBy("_h", key)
     ranked = cand.withColumn("_rn", F.row_number().over(w))
     surv = ranked.groupBy(stratum).agg(F.count(F.lit(1)).alias("_s"), F.first("_cnt").alias("_cnt"))
-    short = [r[stratum] for r in surv.where((F.col("_s") < k) & (F.col("_s") < F.col("_cnt"))).collect()]
-    out = ranked.where(F.col("_rn") <= k)
-    if short:  # rare: redo those strata without the prefilter
-        full = d.where(F.col(stratum).isin(short)).withColumn("_rn", F.row_number().over(w))
-        out = out.where(~F.col(stratum).isin(short)).unionByName(
-            full.where(F.col("_rn") <= k), allowMissingColumns=True)
-    return out.select(*df.columns)
+    # strata with too few survivors (rare; none in most runs) are redone whole
+    surv = null_safe_join(counts, surv.drop("_cnt"), [stratum])
+    short = bounded_broadcast(surv.where((F.coalesce("_s", F.lit(0)) < k) & (F.coalesce("_s", F.lit(0)) < F.col("_cnt"))).select(stratum))
+    out = null_safe_join(ranked.where(F.col("_rn") <= k).select(*df.columns), short, [stratum], "left_anti")
+    full = null_safe_join(d, short, [stratum], "left_semi").withColumn("_rn", F.row_number().over(w))
+    return out.unionByName(full.where(F.col("_rn") <= k).select(*df.columns))
 
 
 def feature_bags(features: Sequence[str], share: float = 0.7, seeds: Sequence[int] = (0, 1, 2)) -> dict[int, list[str]]:

@@ -8,12 +8,12 @@ absorbs hot values before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.operators._util import bounded_broadcast, one_row
+from tabstack.operators._util import one_row
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), cast: str | None = None,
@@ -36,72 +36,89 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True,
     return quantiles(df, cols, 0.5, exact=exact, accuracy=accuracy)
 
 
-EXACT_MAP_MAX_DISTINCT = 1_000_000  # above this, ``percentile``'s value map is too big
+QUANTILE_BINS = 2048
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], q: float, exact: bool = True,
               accuracy: int = 100000) -> dict[str, float]:
-    """Linear-interpolation quantile of every column.
-
-    exact: columns with a bounded number of distinct values use ``percentile``
-    (one pass, a value->count map per task); high-cardinality columns use
-    :func:`exact_quantile_select` (bracketing passes, bounded memory).  The
-    cardinality check rides on one ``approx_count_distinct`` aggregate."""
+    """Quantile of every column: linear interpolation of the exact order
+    statistics, or (``exact=False``) ``percentile_approx``."""
     if not exact:
         r = one_row(df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, accuracy).alias(c) for c in cols]))
         return {c: (float(r[c]) if r[c] is not None else None) for c in cols}
-    nd = one_row(df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]))
-    small = [c for c in cols if nd[c] <= EXACT_MAP_MAX_DISTINCT]
-    out: dict[str, float] = {}
-    if small:
-        r = one_row(df.agg(*[F.percentile(F.col(c).cast("double"), q).alias(c) for c in small]))
-        out.update({c: (float(r[c]) if r[c] is not None else None) for c in small})
-    for c in cols:
-        if c not in out:
-            out[c] = exact_quantile_select(df, c, q)
+    return {c: v[0] for c, v in exact_quantiles(df, {c: [q] for c in cols}).items()}
+
+
+def exact_quantiles(df: DataFrame, want: Mapping[str, Sequence[float]],
+                    bins: int = QUANTILE_BINS) -> dict[str, list[float | None]]:
+    """Exact linear-interpolation quantiles of several columns at once.
+
+    A quantile needs the order statistics of two ranks.  Each open rank has a
+    bracket of values; one aggregate per round counts the rows of every bracket
+    in ``bins`` equal slices with each slice's smallest and largest value, and
+    the slice that holds the rank is the next bracket.  A bracket of one value
+    is the answer, so ties, zeros and constants need no special case.  The
+    driver sees at most brackets x bins rows; a round narrows by ``bins``.
+    NULL and NaN are left out.
+    """
+    x = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in want}
+    inf = float("inf")
+    aggs = []
+    for k, c in enumerate(want):
+        finite = F.when(F.abs(x[c]) < inf, x[c])
+        aggs += [F.count(x[c]).alias(f"n{k}"), F.count_if(x[c] == -inf).alias(f"low{k}"),
+                 F.count_if(x[c] == inf).alias(f"high{k}"), F.min(finite).alias(f"min{k}"), F.max(finite).alias(f"max{k}")]
+    r = one_row(df.agg(*aggs))
+    found: dict[tuple[str, int], float] = {}
+    open_ranks: dict[tuple[str, int], tuple[float, float, int]] = {}  # -> (low, high, rows below low)
+    for k, (c, qs) in enumerate(want.items()):
+        n, low, high = r[f"n{k}"], r[f"low{k}"], r[f"high{k}"]
+        for q in qs if n else ():
+            k0 = int((n - 1) * q)
+            for rank in {k0, min(k0 + 1, n - 1)}:
+                if rank < low or rank >= n - high:
+                    found[c, rank] = -inf if rank < low else inf
+                elif r[f"min{k}"] == r[f"max{k}"]:
+                    found[c, rank] = r[f"min{k}"]
+                else:
+                    open_ranks[c, rank] = (r[f"min{k}"], r[f"max{k}"], low)
+    while open_ranks:
+        brackets = sorted({(c, *b) for (c, _), b in open_ranks.items()})
+        cells = []
+        for k, (c, lo, hi, _) in enumerate(brackets):
+            width = hi / 2 - lo / 2  # halves: hi - lo may overflow
+            cell = F.least(F.floor((x[c] / 2 - F.lit(lo / 2)) / F.lit(width) * bins), F.lit(bins - 1)).cast("int")
+            cells.append(F.when((x[c] >= lo) & (x[c] <= hi), F.struct(F.lit(k).alias("k"), cell.alias("cell"), x[c].alias("x"))))
+        slices = (df.select(F.explode(F.array(*cells)).alias("e")).where(F.col("e").isNotNull())
+                  .groupBy("e.k", "e.cell").agg(F.count(F.lit(1)).alias("n"), F.min("e.x").alias("lo"), F.max("e.x").alias("hi"))
+                  .orderBy("k", "cell").collect())
+        for (c, rank), b in list(open_ranks.items()):
+            below = b[2]
+            for s in slices:
+                if s["k"] != brackets.index((c, *b)):
+                    continue
+                if rank < below + s["n"]:
+                    if s["lo"] == s["hi"]:
+                        found[c, rank] = s["lo"]
+                        del open_ranks[c, rank]
+                    else:
+                        open_ranks[c, rank] = (s["lo"], s["hi"], below)
+                    break
+                below += s["n"]
+    out: dict[str, list[float | None]] = {}
+    for k, (c, qs) in enumerate(want.items()):
+        out[c] = []
+        for q in qs:
+            n = r[f"n{k}"]
+            if not n:
+                out[c].append(None)
+                continue
+            h = (n - 1) * q
+            a, b = found[c, int(h)], found[c, min(int(h) + 1, n - 1)]
+            out[c].append(float(a if a == b else a + (b - a) * (h - int(h))))
     return out
 
 
-def exact_quantile_select(df: DataFrame, col: str, q: float, accuracy: int = 10000,
-                          max_collect: int = 100_000) -> float | None:
-    """Exact linear-interpolation quantile without holding the column.
-
-    The needed order statistics are ranks k0 = floor((n-1)q) and k0 + 1.
-    ``percentile_approx`` (rank error <= n/accuracy) gives a value bracket
-    around them; one counting pass checks that the ranks fall inside and how
-    many values lie below.  A bracket small enough is collected (bounded by
-    ``max_collect``) and the ranks are read off; otherwise the column is
-    filtered to the bracket and the step repeats on the smaller slice."""
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    n = x.count()
-    if n == 0:
-        return None
-    h = (n - 1) * q
-    k0 = int(h)
-    k1 = min(k0 + 1, n - 1)
-    below = 0          # values strictly below the current slice
-    cur, cur_n = x, n
-    lo_v = hi_v = None
-    for _ in range(8):
-        if cur_n <= max_collect:
-            vals = sorted(r[0] for r in cur.collect())  # bounded slice
-            a, b = vals[k0 - below], vals[k1 - below]
-            return float(a + (b - a) * (h - k0)) if k1 != k0 else float(a)
-        slack = 2.0 * cur_n / accuracy + 2
-        p_lo = max(0.0, (k0 - below - slack) / cur_n)
-        p_hi = min(1.0, (k1 - below + slack) / cur_n)
-        lo_v, hi_v = one_row(cur.agg(F.percentile_approx("x", [p_lo, p_hi], accuracy).alias("v")))["v"]
-        cnt = one_row(cur.agg(F.count_if(F.col("x") < lo_v).alias("b"),
-                              F.count_if((F.col("x") >= lo_v) & (F.col("x") <= hi_v)).alias("m")))
-        if not (below + cnt["b"] <= k0 and k1 < below + cnt["b"] + cnt["m"]):
-            accuracy *= 4  # approximation missed (rare): widen and retry
-            continue
-        below += cnt["b"]
-        cur = cur.where((F.col("x") >= lo_v) & (F.col("x") <= hi_v))
-        cur_n = cnt["m"]
-    raise RuntimeError("exact quantile selection did not converge")
-
-
 def modes(df: DataFrame, cols: Sequence[str], cast: str | None = None) -> DataFrame:
     """Most frequent non-null value per column; ties -> smallest value
     (pandas ``mode()[0]``).  Returns a long table (column, value, count)."""
@@ -197,19 +214,17 @@ def value_counts_top(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFram
 def describe(df: DataFrame, target: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """count, mean, std, min, quartiles, max (box-plot five numbers).
 
-    Exact quartiles keep a value->count map per group, so they are used only
-    when the target has a bounded number of distinct values; otherwise the
-    quartiles are ``percentile_approx`` (rank error 1e-5)."""
+    Exact quartiles keep a value->count map per group; ``exact=False`` takes
+    ``percentile_approx`` (rank error 1e-5) and says so in the column
+    ``approximate``."""
     y = F.col(target).cast("double")
-    if exact:
-        nd = one_row(df.agg(F.approx_count_distinct(y).alias("d")))["d"]
-        exact = nd <= EXACT_MAP_MAX_DISTINCT
     q = F.percentile(y, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(y, [0.25, 0.5, 0.75], 100000)
+    extra = [] if exact else [F.lit(True).alias("approximate")]
     return df.groupBy(*by).agg(F.count(y).alias("count"), F.avg(y).alias("mean"),
                                F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
                                q.alias("_q"), F.max(y).alias("max")) \
         .select(*by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"),
-                F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
+                F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max", *extra)
 
 
 def histogram(df: DataFrame, col: str | Column, bins: int = 60, name: str = "x") -> DataFrame:
@@ -223,8 +238,3 @@ def histogram(df: DataFrame, col: str | Column, bins: int = 60, name: str = "x")
     b = F.least(F.floor((F.col(name) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     return d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")).select(
         "bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("left"), "count")
-
-
-def attach_group_table(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of a fitted per-group table (size-checked broadcast)."""
-    return df.join(bounded_broadcast(table), on=list(keys), how="left")

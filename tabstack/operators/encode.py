@@ -46,14 +46,8 @@ def ordinal_coverage(df: DataFrame, col: str, mapping: Mapping[str, int]) -> flo
 def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 8) -> dict[str, list]:
     """Distinct non-null levels of each column with at most ``max_levels``
     levels (exact ``count_distinct`` first, so the collected sets are bounded)."""
-    # cheap sketch first: only columns that can be small pay for an exact
-    # distinct count (each exact one is a distinct shuffle)
-    approx = one_row(df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]))
-    maybe = [c for c in cols if approx[c] <= 2 * max_levels + 2]
-    if not maybe:
-        return {}
-    counts = one_row(df.agg(*[F.count_distinct(c).alias(c) for c in maybe]))
-    small = [c for c in maybe if counts[c] <= max_levels]
+    counts = one_row(df.agg(*[F.count_distinct(c).alias(c) for c in cols]))
+    small = [c for c in cols if counts[c] <= max_levels]
     if not small:
         return {}
     sets = one_row(df.agg(*[F.collect_set(c).alias(c) for c in small]))
@@ -90,14 +84,14 @@ def fit_label_codes(df: DataFrame, col: str) -> DataFrame:
     # the range-partitioned, sorted levels are checkpointed so their
     # partitioning is fixed before positions are counted
     coded = with_row_id(cut_lineage(distinct), "_code")
-    return coded.select(col, F.col("_code").cast("int").alias(f"{col}_code"))
+    return coded.select(col, F.col("_code").alias(f"{col}_code"))
 
 
 def label_encode(df: DataFrame, col: str, codes: DataFrame, out: str | None = None,
                  unknown: int = -1) -> DataFrame:
     out = out or f"{col}_code"
     j = df.join(bounded_broadcast(codes), on=col, how="left")
-    return j.withColumn(out, F.coalesce(F.col(f"{col}_code"), F.lit(unknown)).cast("int")) \
+    return j.withColumn(out, F.coalesce(F.col(f"{col}_code"), F.lit(unknown)).cast("long")) \
         .drop(*([f"{col}_code"] if out != f"{col}_code" else []))
 
 
@@ -150,17 +144,17 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
     names = list(names) if names else ["__".join(k) for k in key_sets]
     y = F.col(target).cast("double")
     b = (F.col(binary) if isinstance(binary, str) else binary) if binary is not None else F.lit(0)
-    # centring shift for the second-moment sums: any value of the target
-    # works (variances are shift-invariant; a data value keeps the sums small),
-    # and one row costs a limit(1) read instead of a global pass
-    first = train.select(y.alias("_y0")).where(F.col("_y0").isNotNull()).limit(1).collect()
-    shift = float(first[0]["_y0"]) if first else 0.0
+    # centring shift for the second-moment sums: the mean keeps them small and
+    # does not depend on the order of rows (a one-column pass)
+    shift = float(train.agg(F.avg(y)).first()[0] or 0.0)
     all_keys = sorted({k for ks in key_sets for k in ks})
     fcol = F.col(fold) if fold else F.lit(FULL)
     base = train.select(*all_keys, fcol.cast("int").alias("_f"),
                         y.alias("_y"), (y - F.lit(shift)).alias("_c"), b.cast("double").alias("_b"))
-    sums = [F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"), F.sum("_c").alias("_c1"),
-            F.sum(F.col("_c") * F.col("_c")).alias("_c2"), F.sum("_b").alias("_sb")]
+    # rows without a target carry no information: they are not counted
+    sums = [F.count("_y").alias("_n"), F.sum("_y").alias("_s"), F.sum("_c").alias("_c1"),
+            F.sum(F.col("_c") * F.col("_c")).alias("_c2"),
+            F.sum(F.when(F.col("_y").isNotNull(), F.col("_b"))).alias("_sb")]
     if len(key_sets) == 1:
         agg = base.groupBy(*key_sets[0], "_f").agg(*sums, F.lit(0).alias("_gid"))
         gids = {0: key_sets[0]}
@@ -184,7 +178,7 @@ def fit_target_stats(train: DataFrame, key_sets: Sequence[Sequence[str] | str],
     gid0 = [k for k, v in gids.items() if v == key_sets[0]][0]
     per_fold = {r["_f"]: r for r in agg.where(F.col("_gid") == gid0).groupBy("_f").agg(
         *[F.sum(c).alias(c) for c in ("_n", "_s", "_c1", "_c2", "_sb")]).collect()}  # K rows
-    N, S, C1, C2, SB = (float(sum(r[c] for r in per_fold.values())) for c in ("_n", "_s", "_c1", "_c2", "_sb"))
+    N, S, C1, C2, SB = (float(sum(r[c] or 0 for r in per_fold.values())) for c in ("_n", "_s", "_c1", "_c2", "_sb"))
     mu, pmu = S / N, SB / N
     sd = math.sqrt(max((C2 - C1 * C1 / N) / (N - 1), 0.0)) if N > 1 else 0.0
     fold_mu = None
@@ -293,13 +287,12 @@ def loo_encode(df: DataFrame, key: str, target: str, is_train: Column, m: float
 def fit_quantile_edges(df: DataFrame, cols: Sequence[str], n_bins: int = 5,
                        exact: bool = True, accuracy: int = 100000) -> dict[str, list[float]]:
     """Inner quantile edges per column, all columns in ONE aggregate."""
-    from tabstack.operators.aggregates import quantiles
+    from tabstack.operators.aggregates import exact_quantiles
     qs = [i / n_bins for i in range(1, n_bins)]
     if not exact:
         r = one_row(df.agg(*[F.percentile_approx(F.col(c).cast("double"), qs, accuracy).alias(c) for c in cols]))
         return {c: list(r[c]) for c in cols}
-    per_q = [quantiles(df, cols, q) for q in qs]  # cardinality-aware exact quantiles
-    return {c: [pq[c] for pq in per_q] for c in cols}
+    return exact_quantiles(df, {c: qs for c in cols})  # all edges of all columns together
 
 
 def kbins_columns(edges: Mapping[str, Sequence[float]], suffix: str = "_bin") -> dict[str, Column]:
@@ -325,9 +318,13 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "standard",
         elif kind != "robust":
             raise ValueError(kind)
     if kind == "robust":
-        from tabstack.operators.aggregates import quantiles
-        q1, med, q3 = (quantiles(df, cols, q, exact=exact) for q in (0.25, 0.5, 0.75))
-        return {c: (float(med[c]), float(q3[c] - q1[c])) for c in cols}
+        from tabstack.operators.aggregates import exact_quantiles, quantiles
+        if exact:
+            three = exact_quantiles(df, {c: (0.25, 0.5, 0.75) for c in cols})
+        else:
+            each = [quantiles(df, cols, q, exact=False) for q in (0.25, 0.5, 0.75)]
+            three = {c: [e[c] for e in each] for c in cols}
+        return {c: (float(m), float(b - a)) for c, (a, m, b) in three.items()}
     r = one_row(df.agg(*aggs))
     return {c: (float(r[f"{c}__a"]), float(r[f"{c}__b"] or 0.0)) for c in cols}
 

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.operators._util import bounded_broadcast
+from tabstack.operators._util import bounded_broadcast, null_safe_join
 from tabstack.operators.aggregates import unpivot
 
 
@@ -42,24 +42,28 @@ def chi2_table(df: DataFrame, a: str, b: str) -> DataFrame:
     Uses sum (O - E)^2 / E = N * sum_{O > 0} O^2 / (n_a n_b) - N, so only the
     non-empty cells are needed (no level grid is ever built)."""
     c = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
-    c = c.withColumns({"na": F.sum("o").over(Window.partitionBy(a)),
-                       "nb": F.sum("o").over(Window.partitionBy(b)),
-                       "n": F.sum("o").over(Window.partitionBy())})  # small cell table
-    return c.agg((F.first("n") * F.sum(F.col("o") * F.col("o") / (F.col("na") * F.col("nb"))) - F.first("n")).alias("chi2"),
+    c = null_safe_join(c, c.groupBy(a).agg(F.sum("o").alias("na")), [a])
+    c = null_safe_join(c, c.groupBy(b).agg(F.sum("o").alias("nb")), [b])
+    n = F.sum("o")
+    return c.agg((n * F.sum(F.col("o") * F.col("o") / (F.col("na") * F.col("nb"))) - n).alias("chi2"),
                  ((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).cast("long").alias("dof"))
 
 
 def anova_f(df: DataFrame, features: Sequence[str], group: str) -> DataFrame:
     """One-way ANOVA F of every feature across ``group`` (between / within
-    mean squares) from per-(feature, group) sums."""
+    mean squares).  Values are shifted by the feature's mean and the sums of
+    squares come from the streaming variance, so a large offset of a feature
+    cancels nowhere."""
     long = unpivot(df, features, ids=[group], cast="double").where(F.col("value").isNotNull())
+    means = long.groupBy("column").agg(F.avg("value").alias("shift"))  # a row per feature
+    long = long.join(bounded_broadcast(means), "column").withColumn("value", F.col("value") - F.col("shift"))
     g = long.groupBy("column", group).agg(F.count(F.lit(1)).alias("ng"), F.avg("value").alias("mg"),
-                                          F.sum((F.col("value")) ** 2).alias("sq"))
+                                          F.var_pop("value").alias("vg"))
     w = Window.partitionBy("column")
     g = g.withColumns({"N": F.sum("ng").over(w), "k": F.count(F.lit(1)).over(w),
                        "m": F.sum(F.col("ng") * F.col("mg")).over(w) / F.sum("ng").over(w)})
     ssb = F.sum(F.col("ng") * (F.col("mg") - F.col("m")) ** 2)
-    ssw = F.sum(F.col("sq") - F.col("ng") * F.col("mg") ** 2)
+    ssw = F.sum(F.col("ng") * F.col("vg"))
     r = g.groupBy("column").agg(ssb.alias("ssb"), ssw.alias("ssw"), F.first("N").alias("N"), F.first("k").alias("k"))
     return r.select(F.col("column").alias("feature"),
                     ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("N") - F.col("k")))).alias("f"))
@@ -123,13 +127,19 @@ def stepwise_forward(gram: dict, names: Sequence[str], criterion: str = "aic", m
     return path
 
 
-def permutation_shift(df: DataFrame, col: str, key: str, seed: int = 42, buckets: int = 64) -> DataFrame:
+def permutation_shift(df: DataFrame, col: str, key: str, seed: int = 42, rows_per_bucket: int = 50_000) -> DataFrame:
     """Permute one column without a global sort: rows are ordered by a seeded
-    hash inside hash buckets and each takes the value of the next row in its
-    bucket (cyclic) -- a derangement within every bucket."""
+    hash inside hash buckets and each takes the value of the next row; a
+    bucket's last row takes the first of the next bucket.  So from two rows on
+    no row keeps its own cell, and a bucket has about ``rows_per_bucket`` rows
+    whatever the size of the table."""
+    buckets = max(1, -(-df.count() // rows_per_bucket))
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
     d = df.withColumns({"_ph": h, "_pb": F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))})
-    w = Window.partitionBy("_pb").orderBy("_ph")
-    nxt = F.lead(col).over(w)
-    first = F.first(col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return d.withColumn(col, F.coalesce(nxt, first)).drop("_ph", "_pb")
+    cell = F.struct(F.col(col).alias("v"))  # a struct: a NULL cell is a value, too
+    firsts = d.groupBy("_pb").agg(F.min_by(cell, F.col("_ph")).alias("_first"))  # a row per bucket
+    around = Window.orderBy("_pb")
+    after = F.coalesce(F.lead("_first").over(around), F.first("_first").over(around))
+    d = d.join(bounded_broadcast(firsts.select("_pb", after.alias("_after"))), "_pb")
+    nxt = F.lead(cell).over(Window.partitionBy("_pb").orderBy("_ph"))
+    return d.withColumn("_next", F.coalesce(nxt, F.col("_after"))).withColumn(col, F.col("_next.v")).select(*df.columns)

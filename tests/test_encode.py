@@ -102,13 +102,13 @@ def test_loo_and_scalers(spark):
 
 
 def test_exact_quantile_select_matches_numpy(spark):
-    from tabstack.operators.aggregates import exact_quantile_select
+    from tabstack.operators.aggregates import exact_quantiles
     from tabstack.sources.tables import read_table
     from conftest import SF01
     li = read_table(spark, SF01, "lineitem")
     vals = np.array([r[0] for r in li.select("l_extendedprice").collect()])
     for q in (0.5, 0.995, 0.0, 1.0, 0.37):
-        got = exact_quantile_select(li, "l_extendedprice", q, accuracy=200, max_collect=500)
+        got = exact_quantiles(li, {"l_extendedprice": [q]}, bins=7)["l_extendedprice"][0]
         assert abs(got - np.quantile(vals, q)) <= 1e-9 * max(1.0, abs(got))
 
 
@@ -124,12 +124,11 @@ def test_oof_prior_removes_own_label_entirely(spark):
     assert vals[0] == vals[1]
 
 
-def test_quantiles_high_cardinality_branch(spark, monkeypatch):
+def test_quantiles_of_several_columns(spark):
     from tabstack.operators import aggregates as A
     from tabstack.sources.tables import read_table
     from conftest import SF01
     li = read_table(spark, SF01, "lineitem")
-    monkeypatch.setattr(A, "EXACT_MAP_MAX_DISTINCT", 10)  # force the bracketing selection
     got = A.quantiles(li, ["l_extendedprice", "l_discount"], 0.995)
     pdf = li.select("l_extendedprice", "l_discount").toPandas()
     for c in got:

@@ -49,7 +49,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [a for a in sys.argv[1:] if not a.startswith("-")]
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="tabstack-bench")
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="tabstack-bench",
+                      extra={"spark.driver.memory": "16g"})
     load_all()
     from tabstack.plans.flagship import flagship
     queries = dict(QUERIES)

@@ -85,7 +85,8 @@ def _pred_cols(model_df: DataFrame, kind: str, n_classes: int) -> list:
     if kind == "reg":
         return [F.col("prediction").cast("double").alias("pred")]
     arr = vector_to_array("probability")
-    return [arr[k].alias(f"p{k}") for k in range(n_classes)]
+    # a training fold may lack the highest classes: their probability is 0
+    return [F.coalesce(F.get(arr, F.lit(k)), F.lit(0.0)).alias(f"p{k}") for k in range(n_classes)]
 
 
 def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], features: Sequence[str],

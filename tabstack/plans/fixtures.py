@@ -32,7 +32,7 @@ def _materialised(name: str, spark: SparkSession, sf_dir: str, build) -> DataFra
     checkpoint folder (lineage cut), like a prediction table read from the
     OOF store.  Stand-in predictions are 25 generated expressions; without the
     cut, Catalyst would inline all of them into every blend expression."""
-    key = (name, id(spark._jsparkSession), sf_dir)
+    key = (name, spark.sparkContext.applicationId, sf_dir)
     if key not in _MEMO:
         _MEMO[key] = cut_lineage(build())
     return _MEMO[key]

@@ -30,11 +30,15 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "tabstack", extra: dict | None = None) -> SparkSession:
-    master = master or os.environ.get("TABSTACK_MASTER", "local[8]")
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the library's defaults.  Master and shuffle partitions are
+    set only if asked for: on a cluster they belong to the submission."""
+    b = SparkSession.builder.appName(app)
+    master = master or os.environ.get("TABSTACK_MASTER")
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

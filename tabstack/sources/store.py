@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabstack.operators._util import bounded_broadcast
+
 OOF_PARTITIONS = ["task", "model", "version"]
 
 
@@ -41,9 +43,12 @@ def read_oof(spark: SparkSession, path: str, task: str | None = None,
 def latest_versions(store: DataFrame, by: Sequence[str] = ("task", "model"),
                     version: str = "version") -> DataFrame:
     """Newest version per (task, model) -- a small aggregate over the
-    partition columns -- then a semi join keeps only those rows."""
-    newest = store.groupBy(*by).agg(F.max(version).alias(version))
-    return store.join(F.broadcast(newest), on=[*by, version], how="left_semi")
+    partition columns -- then a semi join keeps only those rows.  Versions are
+    ordered by their run number (v10 after v9), then by name."""
+    digits = F.regexp_extract(F.col(version).cast("string"), r"(\d+)\D*$", 1)
+    number = F.when(digits != "", digits.cast("decimal(38,0)"))
+    newest = store.groupBy(*by).agg(F.max_by(version, F.struct(F.coalesce(number, F.lit(-1).cast("decimal(38,0)")).alias("n"), version)).alias(version))
+    return store.join(bounded_broadcast(newest), on=[*by, version], how="left_semi")
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str]) -> DataFrame:

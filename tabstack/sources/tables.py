@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabstack.operators._util import bounded_broadcast
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -19,7 +21,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     left to Catalyst, so callers should select what they need."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -50,6 +52,6 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # #partitions rows
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    j = d.join(F.broadcast(offs), "_pid")
+    j = d.join(bounded_broadcast(offs), "_pid")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return j.select((F.col("_off") + pos).cast("long").alias(name), *df.columns)

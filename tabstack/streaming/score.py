@@ -19,7 +19,7 @@ from tabstack.session import scratch_path
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType,
-                      max_files_per_trigger: int = 1) -> DataFrame:
+                      max_files_per_trigger: int = 1000) -> DataFrame:
     """Stream the parquet file(s) of one table in ``sf_dir``."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
@@ -33,7 +33,7 @@ def score_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
     ck = checkpoint or scratch_path(spark, "stream-ckpt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("append").parquet(f"{out_path}/batch={batch_id}")
+        transform(batch).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     q = stream.writeStream.foreachBatch(write).option("checkpointLocation", ck) \
         .trigger(availableNow=True).start()

@@ -28,21 +28,25 @@ def q_group_stats(spark, sf):
     return u.select("grp", q6("sum").alias("sum"), "count", q6("mean").alias("mean"), q6("std").alias("std"))
 
 
+def _one_row(spark, values: dict):
+    """Fitted values as a one-row frame."""
+    d = spark.createDataFrame([tuple(values.values())], ", ".join(f"{c} double" for c in values))
+    return d.select(*[q6(c).alias(c) for c in values])
+
+
 MEDIAN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("agg_median", "SELECT " + ", ".join(
     f"{sq6(f'quantile_cont({c}, 0.5)')} AS {c}" for c in MEDIAN_COLS) + " FROM lineitem")
 def q_median(spark, sf):
-    li = read_table(spark, sf, "lineitem")
-    return li.agg(*[q6(F.percentile(F.col(c), 0.5)).alias(c) for c in MEDIAN_COLS])
+    return _one_row(spark, A.medians(read_table(spark, sf, "lineitem"), MEDIAN_COLS))
 
 
 @query("agg_quantile", "SELECT " + ", ".join(
     f"{sq6(f'quantile_cont({c}, 0.995)')} AS {c}" for c in MEDIAN_COLS) + " FROM lineitem")
 def q_quantile(spark, sf):
-    li = read_table(spark, sf, "lineitem")
-    return li.agg(*[q6(F.percentile(F.col(c), 0.995)).alias(c) for c in MEDIAN_COLS])
+    return _one_row(spark, A.quantiles(read_table(spark, sf, "lineitem"), MEDIAN_COLS, 0.995))
 
 
 def _mode_sql(col):
@@ -68,8 +72,8 @@ NUNIQUE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_lines
 @query("agg_nunique", "SELECT " + ", ".join(
     f"count(DISTINCT {c}) AS {c}" for c in NUNIQUE_COLS) + " FROM lineitem")
 def q_nunique(spark, sf):
-    li = read_table(spark, sf, "lineitem")
-    return li.agg(*[F.count_distinct(c).alias(c) for c in NUNIQUE_COLS])
+    n = A.nunique(read_table(spark, sf, "lineitem"), NUNIQUE_COLS)
+    return spark.createDataFrame([tuple(n[c] for c in NUNIQUE_COLS)], ", ".join(f"{c} long" for c in NUNIQUE_COLS))
 
 
 ACCT_COLS = ["row_id", "segment", "nation", "balance", "n_orders", "total_value", "late30", "late60",
@@ -100,10 +104,9 @@ VAR_COLS = ["delinquency", "any_delinquency", "severe_delinquency", "log_total_v
     FROM acct)"""]))
 def q_variance_filter(spark, sf):
     a = acct_features(FX.acct(spark, sf))
-    wide = a.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in VAR_COLS])
-    long = wide.unpivot([], VAR_COLS, "column", "std")
-    return long.select("column", q6("std").alias("std"),
-                       (F.coalesce(F.col("std"), F.lit(0.0)) > 1e-6).cast("int").alias("keep"))
+    std, kept = A.stds(a, VAR_COLS), set(A.variance_filter(a, VAR_COLS))
+    rows = spark.createDataFrame([(c, std[c], int(c in kept)) for c in VAR_COLS], "column string, std double, keep int")
+    return rows.select("column", q6("std").alias("std"), "keep")
 
 
 CORR_COLS = ["balance", "n_orders", "total_value", "late30", "late60", "late90", "rate"]

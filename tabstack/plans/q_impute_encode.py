@@ -128,8 +128,8 @@ def q_onehot(spark, sf):
     return EN.onehot_encode(c, levels)
 
 
-@query("enc_label", """SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS p_brand_code,
-  CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS p_type_code FROM part""")
+@query("enc_label", """SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS p_brand_code,
+  CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS p_type_code FROM part""")
 def q_label(spark, sf):
     p = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     out = p

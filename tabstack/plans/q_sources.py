@@ -91,7 +91,7 @@ def q_latest_oof(spark, sf):
 def _sub_sql():
     eq = [1.0 / M] * M
     rate = f"greatest(4.99, least(35.99, {_scalar_sql([f'm{m}_rate' for m in range(M)], eq)}))"
-    return (f"SELECT CAST(row_id AS INTEGER) AS Id, {_argmax_sql(_blend_sql(eq))} AS RiskTier, "
+    return (f"SELECT CAST(row_id AS BIGINT) AS Id, {_argmax_sql(_blend_sql(eq))} AS RiskTier, "
             f"CAST(round_even({rate} * 100.0, 0) AS DOUBLE) / 100.0 AS InterestRate FROM acct_pred WHERE split = 'test'")
 
 

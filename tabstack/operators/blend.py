@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabstack.operators.aggregates import gram_sums
 from tabstack.operators._util import one_row
 
-MAX_CANDIDATES = 20000  # bound on the broadcast candidate table
+SCORE_CELLS = 8_000_000  # cells scored at once in a task (64 MB)
 
 
 # ------------------------------------------------------------ projections
@@ -141,7 +141,7 @@ def simplex_grid(M: int, steps: int = 10) -> np.ndarray:
 
 
 def candidate_hits(df: DataFrame, prob_cols: Sequence[Sequence[str]], label: str,
-                   candidates: np.ndarray, batch_rows: int = 2048) -> DataFrame:
+                   candidates: np.ndarray, batch_rows: int | None = None) -> DataFrame:
     """(cand, hits, n): for every candidate weight vector, how many rows the
     weighted blend classifies correctly (argmax, ties -> lowest class).
 
@@ -151,9 +151,9 @@ def candidate_hits(df: DataFrame, prob_cols: Sequence[Sequence[str]], label: str
     is bit-identical to the SQL expression ``w0*p0 + w1*p1 + ...``.
     """
     K, M = candidates.shape
-    if K > MAX_CANDIDATES:
-        raise ValueError(f"{K} candidates exceed the broadcast bound {MAX_CANDIDATES}")
     C = len(prob_cols[0])
+    # rows x candidates x classes doubles at a time, whatever the candidates
+    batch_rows = batch_rows or max(1, SCORE_CELLS // (K * C))
     cols = [c for mc in prob_cols for c in mc]
     bc = df.sparkSession.sparkContext.broadcast(candidates)
 
@@ -189,19 +189,18 @@ def candidate_table(spark, candidates: np.ndarray, names: Sequence[str]) -> Data
 
 
 def blend_convex_cls(df: DataFrame, prob_cols: Sequence[Sequence[str]], label: str,
-                     rounds: int = 3, n_random: int = 256, seed: int = 42) -> tuple[np.ndarray, float]:
-    """Simplex weights maximising accuracy: grid + seeded Dirichlet draws +
-    corners + equal weights, then refine around the winner with shrinking
+                     rounds: int = 3, n_random: int = 256, n_start: int = 1024, seed: int = 42) -> tuple[np.ndarray, float]:
+    """Simplex weights maximising accuracy: equal weights, corners and
+    ``n_start`` seeded Dirichlet draws for any number of models, then refine around the winner with shrinking
     perturbations (one scan per round)."""
     M = len(prob_cols)
     rng = np.random.default_rng(seed)
-    cands = np.vstack([simplex_grid(M, 10) if M <= 6 else np.eye(M), np.eye(M),
-                       np.ones((1, M)) / M, rng.dirichlet(np.ones(M), size=n_random)])
+    cands = np.vstack([np.ones((1, M)) / M, np.eye(M), rng.dirichlet(np.ones(M), size=n_start)])
     best_w, best_acc = None, -1.0
     scale = 0.05
     for _ in range(rounds):
         h = {r["cand"]: (r["hits"], r["n"]) for r in candidate_hits(df, prob_cols, label, cands).collect()}
-        # ties -> the earliest candidate (grid/corners/equal come first)
+        # ties -> the earliest candidate (equal weights and corners come first)
         i = max(range(len(cands)), key=lambda j: (h[j][0], -j))
         acc = h[i][0] / h[i][1]
         if acc > best_acc:

@@ -11,7 +11,7 @@ from tabstack.operators import blend as B
 from tabstack.operators import metrics as MT
 from tabstack.operators.aggregates import corr_pairs
 from tabstack.operators.pseudo import append_pseudo, pad_pseudo, pseudo_label
-from tabstack.operators.sampling import feature_bags, rank_borda, stratified_sample, topk_confidence
+from tabstack.operators.sampling import rank_borda, stratified_sample, topk_confidence
 from tabstack.plans import fixtures as FX
 from tabstack.plans.flagship import acct_features
 from tabstack.plans.registry import q6, query, sq6
@@ -347,16 +347,6 @@ def q_strat_sample(spark, sf):
     return stratified_sample(a, "tier", 100, key="row_id", seed=42)
 
 
-@query("feature_bag")
-def q_feature_bag(spark, sf):
-    """Seeded 70 % column subsets of the acct feature table (3 seeds)."""
-    a = acct_features(FX.acct(spark, sf))
-    feats = [c for c in FEATS if c in a.columns]
-    bags = feature_bags(feats, 0.7, (0, 1, 2))
-    rows = [(s, f) for s, fs in bags.items() for f in fs]
-    return spark.createDataFrame(rows, "seed int, feature string")
-
-
 @query("rank_borda", W("acct", f"""SELECT feature, borda, CAST(row_number() OVER (ORDER BY borda, feature) AS INTEGER) AS borda_rank
 FROM (SELECT feature, CAST(rank() OVER (ORDER BY s1 DESC) + rank() OVER (ORDER BY s2 DESC) AS BIGINT) AS borda
       FROM (""" + "\nUNION ALL ".join(

@@ -31,7 +31,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     an expensive branch (a Python stage) runs once.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -39,6 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,27 @@ CHUNK_TOKENS = 400_000
 BUCKET_TOKENS = 2_000_000     # tokens per bucket, from which the number of buckets follows
 END = np.uint64(0x9D8F1A6C3B5E7421)   # stands for the end mark (and, as a state, for the start)
 CLASSES, BINS = 40, 80
+PAIR_BITS = 40
+
+
+def pack_ints(a: np.ndarray) -> bytes:
+    """Unsigned integers, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_ints(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def pack_sorted(a: np.ndarray) -> bytes:
+    """Sorted unsigned integers by their differences."""
+    return pack_ints(np.diff(a, prepend=np.uint64(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack_ints(raw), dtype=np.uint64)
 
 
 def chunk_table(docs: DataFrame, train: Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
@@ -69,7 +91,7 @@ def chunk_table(docs: DataFrame, train: Column, id_col: str, text_col: str, chun
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, names[1:]), np.uint64, len(names) - 1)
             hashes = np.concatenate([[END], hashes])
             row = {"chunk": (part << 32) + number, "tokens": tokens, "ids": keys, "train": flags,
-                   "sizes": [len(p) for p in parts], "words": np.concatenate(parts).tobytes(), "hashes": hashes.tobytes()}
+                   "sizes": [len(p) for p in parts], "words": pack_ints(np.concatenate(parts)), "hashes": hashes.tobytes()}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         schema = None
@@ -102,29 +124,38 @@ def chunk_table(docs: DataFrame, train: Column, id_col: str, text_col: str, chun
 class Chunk:
     """The arrays of one chunk, and its distinct words and pairs in the order of their hash keys."""
 
-    def __init__(self, train, sizes, words: bytes, hashes: bytes):
+    def __init__(self, train, sizes, words: bytes):
         self.sizes = np.asarray(sizes, np.int64)
-        self.words = np.frombuffer(words, np.int32).astype(np.int64)
-        h = np.frombuffer(hashes, np.uint64)
+        self.words = unpack_ints(words).astype(np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
         self.trains = np.repeat(np.asarray(train, bool), self.sizes)
         self.before = np.concatenate([[0], self.words[:-1]])
         self.before[self.start] = 0     # word 0: a text starts where the last one ended
-        pairs, self.pair = np.unique((self.before << 32) | self.words, return_inverse=True)
-        mixed = h[pairs >> 32] * np.uint64(0x9E3779B97F4A7C15) + h[pairs & 0xFFFFFFFF]
+        self.pairs, self.pair = np.unique((self.before << 32) | self.words, return_inverse=True)
+
+    def with_keys(self, hashes: bytes) -> Chunk:
+        h = np.frombuffer(hashes, np.uint64)
+        mixed = h[self.pairs >> 32] * np.uint64(0x9E3779B97F4A7C15) + h[self.pairs & 0xFFFFFFFF]
         mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
         self.keys = {"word": h, "pair": mixed ^ (mixed >> np.uint64(32))}
         self.order = {k: np.argsort(v, kind="stable") for k, v in self.keys.items()}
-        self.pairs = pairs
+        return self
 
     def asks(self, bits: int) -> Iterator[tuple[str, int, bytes, bytes]]:
-        """(kind, bucket, keys, training counts) for each bucket that has any."""
+        """(kind, bucket, keys, training counts) for each bucket that has any.
+
+        Words are asked for by 64 bits.  Pairs by the bucket and PAIR_BITS more:
+        buckets have a fixed mean size, so the chance that a pair shares its key
+        with another is about one in a million for any corpus.
+        """
         own = {"word": np.bincount(self.words[self.trains], minlength=len(self.keys["word"])),
                "pair": np.bincount(self.pair[self.trains], minlength=len(self.pairs))}
         for kind, order in self.order.items():
-            keys, counts = self.keys[kind][order], own[kind][order].astype(np.uint32)
+            keys, counts = self.keys[kind][order], own[kind][order]
+            if kind == "pair":
+                keys = (keys << np.uint64(bits)) >> np.uint64(64 - PAIR_BITS)
             for bucket, lo, hi in self._buckets(kind, bits):
-                yield kind, bucket, keys[lo:hi].tobytes(), counts[lo:hi].tobytes()
+                yield kind, bucket, pack_sorted(keys[lo:hi]), pack_ints(counts[lo:hi])
 
     def _buckets(self, kind: str, bits: int) -> Iterator[tuple[int, int, int]]:
         keys = self.keys[kind][self.order[kind]]
@@ -137,7 +168,7 @@ class Chunk:
         """Corpus counts in the order of the chunk's own words or pairs."""
         out = np.zeros(len(self.keys[kind]), np.int64)
         for bucket, lo, hi in self._buckets(kind, bits):
-            out[self.order[kind][lo:hi]] = np.frombuffer(answers[bucket], np.uint32)
+            out[self.order[kind][lo:hi]] = unpack_ints(answers[bucket])
         return out
 
 
@@ -212,13 +243,13 @@ class BackoffAutomaton:
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
     """One bucket: sums of equal keys, answered block by block; first row: distinct keys in use, and their sum."""
-    keys = [np.frombuffer(x, np.uint64) for x in rows["keys"]]
-    own = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]]).astype(np.int64)
+    keys = [unpack_sorted(x) for x in rows["keys"]]
+    own = np.concatenate([unpack_ints(x) for x in rows["counts"]]).astype(np.int64)
     _, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(at, own).astype(np.int64)
-    answer = np.split(total[at].astype(np.uint32), np.cumsum([len(k) for k in keys])[:-1])
+    answer = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
     return pd.DataFrame({"chunk": rows["chunk"], "kind": rows["kind"], "bucket": rows["bucket"],
-                         "totals": [a.tobytes() for a in answer],
+                         "totals": [pack_ints(a) for a in answer],
                          "used": [int((total > 0).sum())] + [0] * (len(rows) - 1),
                          "sum": [int(total.sum())] + [0] * (len(rows) - 1)})
 
@@ -238,7 +269,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         for b in batches:
             for k in range(b.num_rows):
                 row = {n: b.column(j)[k].as_py() for j, n in enumerate(b.schema.names)}
-                own = list(Chunk(row["train"], row["sizes"], row["words"], row["hashes"]).asks(bits))
+                own = list(Chunk(row["train"], row["sizes"], row["words"]).with_keys(row["hashes"]).asks(bits))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["chunk"]] * len(own), pa.int64()), pa.array([x[0] for x in own]), pa.array([x[1] for x in own], pa.int32()),
                      pa.array([x[2] for x in own], pa.binary()), pa.array([x[3] for x in own], pa.binary())],
@@ -253,13 +284,13 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
 
     def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
-        chunk = Chunk(row["train"], row["sizes"], row["words"], row["hashes"])
+        chunk = Chunk(row["train"], row["sizes"], row["words"]).with_keys(row["hashes"])
         back = {k: dict(zip(g["bucket"], g["totals"])) for k, g in right.groupby("kind")}
         word, pair = chunk.totals("word", bits, back["word"]), chunk.totals("pair", bits, back["pair"])
         ratios = ratio_counts(chunk, word, pair, total, kinds)
-        return left.assign(word=word.astype(np.uint32).tobytes(), pair=pair.astype(np.uint32).tobytes(), ratios=ratios.astype(np.int64).tobytes())
+        return left.drop(columns="hashes").assign(word=pack_ints(word), pair=pack_ints(pair), ratios=ratios.astype(np.int64).tobytes())
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunks.schema)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunks.schema if f.name != "hashes")
     met = materialise(chunks.groupBy("chunk").cogroup(answers.select("chunk", "kind", "bucket", "totals").groupBy("chunk"))
                       .applyInPandas(meet, f"{schema}, word binary, pair binary, ratios binary"), "lm-chunks-counted")
 
@@ -280,9 +311,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         for b in batches:
             for k in range(b.num_rows):
                 row = {n: b.column(j)[k].as_py() for j, n in enumerate(b.schema.names) if n != "ids"}
-                chunk = Chunk(row["train"], row["sizes"], row["words"], row["hashes"])
-                word = np.frombuffer(row["word"], np.uint32).astype(np.int64)
-                pair = np.frombuffer(row["pair"], np.uint32).astype(np.int64)
+                chunk = Chunk(row["train"], row["sizes"], row["words"])
+                word, pair = unpack_ints(row["word"]).astype(np.int64), unpack_ints(row["pair"]).astype(np.int64)
                 machine = BackoffAutomaton.of(chunk.pairs, pair, word, total, kinds, weights)
                 steps = machine.walk(chunk.words, chunk.before)
                 ids = b.column(b.schema.get_field_index("ids"))
@@ -295,6 +325,6 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                      pa.array(np.add.reduceat(steps, chunk.start))],
                     names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return map_batches(met.select("ids", "train", "sizes", "words", "hashes", "word", "pair"),
+    return map_batches(met.select("ids", "train", "sizes", "words", "word", "pair"),
         walk, f"id {id_type}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     ).withColumnRenamed("id", id_col)

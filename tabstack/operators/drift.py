@@ -18,16 +18,15 @@ def adversarial_auc(df: DataFrame, features: Sequence[str], is_test: str, key: s
     """Label rows by split, score them out of fold with a forest, and report
     the AUC (0.5 = no drift) and fold-averaged feature importances."""
     d = assign_folds_hash(df.select(key, is_test, *features), key, k, seed)
+    models: dict = {}
     oof = ML.oof_predict(d, lambda f: ML.rf_cls(seed + f, 30, 5), features, is_test, "fold", "cls",
-                         n_classes=2, key=key)
+                         n_classes=2, key=key, fitted=models)
     scored = oof.join(d.select(key, is_test), key)
     a = auc(scored, "p1", is_test)
     imps = {}
-    train = ML.assemble(d, features)
-    models = ML.fit_folds(train, lambda f: ML.rf_cls(seed + f, 30, 5), is_test, "fold", list(range(k)))
     for m in models.values():
         for name, v in zip(features, m.featureImportances.toArray()):
-            imps[name] = imps.get(name, 0.0) + float(v) / k
+            imps[name] = imps.get(name, 0.0) + float(v) / len(models)
     return a, sorted(imps.items(), key=lambda t: -t[1])
 
 

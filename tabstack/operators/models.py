@@ -81,42 +81,50 @@ def logistic_multi(reg: float = 0.0) -> Estimator:
 
 # ------------------------------------------------------------- OOF engine
 
-def _pred_cols(model_df: DataFrame, kind: str, n_classes: int) -> list:
-    if kind == "reg":
-        return [F.col("prediction").cast("double").alias("pred")]
-    arr = vector_to_array("probability")
-    # a training fold may lack the highest classes: their probability is 0
-    return [F.coalesce(F.get(arr, F.lit(k)), F.lit(0.0)).alias(f"p{k}") for k in range(n_classes)]
+def _score(d: DataFrame, models: dict, fold: str, kind: str, n_classes: int = 1) -> DataFrame:
+    """``d`` scored by all fold models in one pass: a row with a fold gets the
+    values of the model that did not see it, a row without one the mean of all.
+    The models are chained on the same rows, so nothing is unioned or shuffled."""
+    for f, model in models.items():
+        m = model.copy().setPredictionCol(f"_pred_{f}")
+        if kind == "cls":
+            m = m.setProbabilityCol(f"_prob_{f}").setRawPredictionCol(f"_raw_{f}")
+        d = m.transform(d)
+
+    def value(f, k):
+        if kind == "reg":
+            return F.col(f"_pred_{f}").cast("double")
+        # a training fold may lack the highest classes: their probability is 0
+        return F.coalesce(F.get(F.col(f"_arr_{f}"), F.lit(k)), F.lit(0.0))
+
+    if kind == "cls":
+        d = d.withColumns({f"_arr_{f}": vector_to_array(f"_prob_{f}") for f in models})
+    out = {}
+    for k, name in enumerate(["pred"] if kind == "reg" else [f"p{k}" for k in range(n_classes)]):
+        every = [value(f, k) for f in models]
+        mean = sum(every[1:], every[0]) / len(every)
+        own = F.coalesce(*[F.when(F.col(fold) == f, v) for f, v in zip(models, every)])
+        out[name] = F.when(F.col(fold).isNull(), mean).otherwise(own)
+    return d.withColumns(out)
 
 
 def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], features: Sequence[str],
                 label: str, fold: str = "fold", kind: str = "reg", n_classes: int = 5,
-                key: str = "row_id", checkpoint: bool = True) -> DataFrame:
+                key: str = "row_id", checkpoint: bool = True, fitted: dict | None = None) -> DataFrame:
     """(key, fold, pred | p0..p{C-1}) for every row: train rows out of fold,
-    rows with a NULL fold averaged over the K fold models."""
+    rows with a NULL fold averaged over the K fold models.  ``fitted`` receives
+    the fold models."""
     d = assemble(df.select(key, fold, label, *features), features)
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).where(F.col(fold).isNotNull()).distinct().collect())
-    test = d.where(F.col(fold).isNull())
     models = fit_folds(d, make_estimator, label, fold, folds)
-    parts, test_parts = [], []
-    for f in folds:
-        model = models[f]
-        scored = model.transform(d.where(F.col(fold) == f))
-        parts.append(scored.select(key, fold, *_pred_cols(scored, kind, n_classes)))
-        ts = model.transform(test)
-        test_parts.append(ts.select(key, *_pred_cols(ts, kind, n_classes)))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
+    if fitted is not None:
+        fitted.update(models)
     vals = ["pred"] if kind == "reg" else [f"p{k}" for k in range(n_classes)]
-    tp = test_parts[0]
-    for p in test_parts[1:]:
-        tp = tp.unionByName(p)
-    tavg = tp.groupBy(key).agg(*[F.avg(v).alias(v) for v in vals]).withColumn(fold, F.lit(None).cast("int"))
-    out = oof.unionByName(tavg.select(key, fold, *vals))
+    out = _score(d, models, fold, kind, n_classes).select(key, fold, *vals)
     out = cut_lineage(out) if checkpoint else out
-    d.unpersist()
+    if checkpoint:
+        d.unpersist()
     return out
 
 
@@ -199,18 +207,9 @@ def _fit_subset_predict_all(df, features, label, fold, subset, key, seed=42):
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).where(F.col(fold).isNotNull()).distinct().collect())
     models = fit_folds(d.where(F.col("_in")), lambda f: gbt_reg(seed + f, 20), label, fold, folds)
-    parts, tests = [], []
-    for f in folds:
-        m = models[f]
-        parts.append(m.transform(d.where(F.col(fold) == f)).select(key, F.col("prediction").alias("pred")))
-        tests.append(m.transform(d.where(F.col(fold).isNull())).select(key, F.col("prediction").alias("pred")))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    t = tests[0]
-    for p in tests[1:]:
-        t = t.unionByName(p)
-    return oof.unionByName(t.groupBy(key).agg(F.avg("pred").alias("pred")))
+    out = cut_lineage(_score(d, models, fold, "reg").select(key, "pred"))
+    d.unpersist()
+    return out
 
 
 def two_stage_class(df: DataFrame, features: Sequence[str], tier: str, fold: str,

@@ -36,3 +36,25 @@ def test_validate_contract(spark):
     df = spark.createDataFrame([(1, 0, 4.99), (1, 5, 36.0), (-2, 2, 7.125)], "Id int, RiskTier int, InterestRate double")
     r = validate(df).collect()[0]
     assert (r.duplicate_ids, r.bad_ids, r.bad_tiers, r.rate_out_of_range, r.rate_not_2dp) == (1, 1, 1, 1, 1)
+
+
+def test_own_label_never_reaches_a_prediction(spark):
+    """Changing one row's labels leaves its own out-of-fold values unchanged."""
+    from pyspark.sql import functions as F
+
+    from tabstack.operators import models as ML
+    from tabstack.plans.q_folds_models import FEATS, _model_frame
+    from conftest import SF001
+    d = _model_frame(spark, SF001).cache()
+    rid = d.where(F.col("fold") == 2).orderBy("row_id").first()["row_id"]
+    own = F.col("row_id") == rid
+    bumped = d.withColumn("rate", F.when(own, F.col("rate") + 50.0).otherwise(F.col("rate"))) \
+              .withColumn("tier", F.when(own, (F.col("tier") + 2) % 5).otherwise(F.col("tier")))
+    runs = [lambda x: ML.oof_predict(x, lambda f: ML.rf_reg(42 + f, 5), FEATS, "rate"),
+            lambda x: ML.oof_predict(x, lambda f: ML.rf_cls(42 + f, 5), FEATS, "tier", kind="cls"),
+            lambda x: ML.log_target_regression(x, FEATS, "rate", "fold")]
+    for run in runs:
+        a, b = (run(x).where(own).first() for x in (d, bumped))
+        assert a == b
+    scored = ML.oof_predict(d, lambda f: ML.rf_cls(42 + f, 5), FEATS, "tier", kind="cls").collect()
+    assert len(scored) == d.count() and all(abs(sum(r[f"p{k}"] for k in range(5)) - 1) < 1e-9 for r in scored)

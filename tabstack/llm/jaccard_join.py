@@ -12,12 +12,13 @@ Documents are sets of word shingles; two link when 100 |x & y| >= T |x | y|.
    segments and make all others larger.  d is chosen for each instance by its
    cost: index entries, and chance meetings of the sets that it holds.
 3. Sets that share an index entry are candidates.  In each entry's bucket the
-   set with the most company is compared first with all others (a star);
-   links join components.  Then only pairs of different components remain and
-   are all compared.  So a bucket of copies costs as many comparisons as it has
-   members, and no link between different components is lost.
-4. A comparison is an exact bound first (parity sketches: the Hamming distance
-   is at most the symmetric difference), then the exact sets.
+   few sets with the most company are its hubs; each set is compared first with
+   the hubs that it shares most entries with, and links join components.  Then only pairs of different components remain and
+   are all compared.  So a bucket of copies costs a few comparisons for each
+   member, and no link between different components is lost.
+4. A comparison takes exact bounds first (parity and count sketches: their
+   distance is at most the symmetric difference), then the exact sets, which
+   are made again from the texts of the remaining classes.
 
 Edge cases: null and word-less texts have empty sets, link with nothing and
 are their own component.  Rows of equal id count as one document with the
@@ -40,9 +41,11 @@ from pyspark.sql import functions as F
 from tabstack.llm.common import map_batches, materialise, range_of
 
 BAND_RATIO = 1.5
-STAR_ROUNDS = 3
+HUBS = 3                 # sets of a bucket that are compared with all its others first
 BUCKET_BLOCK = 2_048     # members of a bucket that meet in one task when all pairs are due
 SKETCH_WORDS = 4         # 64-bit words of the parity sketch
+COUNT_CELLS = 256        # bytes of the count sketch
+BEST_HUBS = 2            # hubs a set is compared with first: those it shares most entries with
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -66,6 +69,12 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def cell_counts(s: np.ndarray) -> bytes:
+    """Number of shingles in each of COUNT_CELLS cells (255 stands for more)."""
+    cells = np.bincount(((s >> np.uint64(16)) % np.uint64(COUNT_CELLS)).astype(np.int64), minlength=COUNT_CELLS)
+    return np.minimum(cells, 255).astype(np.uint8).tobytes()
+
+
 def max_difference(size_sum: int, percent: int) -> int:
     """The largest symmetric difference of linked sets whose sizes add up to ``size_sum``."""
     return size_sum * (100 - percent) // (100 + percent)
@@ -158,24 +167,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _profile(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n, key`` and parity sketch of every row; ``key`` identifies the set."""
+    """``doc_id, n, key`` and the sketches of every row; ``key`` identifies the set."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = [f"s{k}" for k in range(SKETCH_WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, keys, marks = [], [], []
+            sizes, keys, marks, counts = [], [], [], []
             for text in b.column(1):
                 s = shingles(text.as_py(), words)
                 sizes.append(len(s))
+                counts.append(cell_counts(s))
                 keys.append(xxhash.xxh64_intdigest(s.tobytes()))
                 marks.append(sketch(s))
             cells = np.array(marks).reshape(len(marks), SKETCH_WORDS)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64)),
-                 *[pa.array(np.ascontiguousarray(cells[:, k])) for k in range(SKETCH_WORDS)]], names=["doc_id", "n", "key", *names])
+                 *[pa.array(np.ascontiguousarray(cells[:, k])) for k in range(SKETCH_WORDS)], pa.array(counts, pa.binary())],
+                names=["doc_id", "n", "key", *names, "counts"])
 
-    return map_batches(docs, run, f"doc_id {id_type}, n bigint, key bigint, " + ", ".join(f"{x} bigint" for x in names))
+    return map_batches(docs, run, f"doc_id {id_type}, n bigint, key bigint, " + ", ".join(f"{x} bigint" for x in names) + ", counts binary")
 
 
 def _index(docs: DataFrame, words: int, edges: list[int], plans: dict[int, Plan], percent: int) -> DataFrame:
@@ -209,15 +220,23 @@ def _index(docs: DataFrame, words: int, edges: list[int], plans: dict[int, Plan]
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """``key, items`` (the set) of every row."""
+    """``key, items`` (the set) of every set; a task emits equal sets once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                sets = [shingles(t.as_py(), words) for t in b.column(1).slice(at, 256)]
-                keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64)
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), items], names=["key", "items"])
+                found = {}
+                for t in b.column(1).slice(at, 256):
+                    s = shingles(t.as_py(), words)
+                    key = xxhash.xxh64_intdigest(s.tobytes())
+                    if key not in done:
+                        done.add(key)
+                        found[key] = s
+                if not found:
+                    continue
+                offsets = np.concatenate([[0], np.cumsum([len(s) for s in found.values()])]).astype(np.int32)
+                items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(list(found.values())).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(list(found), np.uint64).view(np.int64)), items], names=["key", "items"])
 
     return map_batches(docs, run, "key bigint, items array<bigint>")
 
@@ -229,14 +248,36 @@ def _may_link(percent: int) -> Column:
             & (distance * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
 
 
-def _links(pairs: DataFrame, narrow: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link: the bound first, then the sets themselves."""
-    near = (pairs.join(narrow.alias("x"), F.col("a") == F.col("x.key")).join(narrow.alias("y"), F.col("b") == F.col("y.key"))
+def _bounded(pairs: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that pass the first bound, with the sum of their sizes."""
+    return (pairs.join(narrow.alias("x"), F.col("a") == F.col("x.key")).join(narrow.alias("y"), F.col("b") == F.col("y.key"))
             .filter(_may_link(percent)).select("a", "b", (F.col("x.n") + F.col("y.n")).alias("both")))
+
+
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b, both) whose count sketches allow a link: their distance is at most the symmetric difference."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, COUNT_CELLS).astype(np.int16) for k in (3, 4))
+            distance = np.abs(x - y).sum(axis=1, dtype=np.int64)
+            keep = distance * (100 + percent) <= b.column(2).to_numpy() * (100 - percent)
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(keep)) for k in range(3)], names=["a", "b", "both"])
+
+    both = (pairs.join(classes.select(F.col("key").alias("a"), F.col("counts").alias("ca")), "a")
+            .join(classes.select(F.col("key").alias("b"), F.col("counts").alias("cb")), "b"))
+    return materialise(map_batches(both.select("a", "b", "both", "ca", "cb"), run, "a bigint, b bigint, both bigint"), "near")
+
+
+def _links(near: DataFrame, classes: DataFrame, src: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of ``near`` that link, by the sets themselves, which are made again from the texts of these classes only."""
+    keys = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).distinct()
+    wanted = materialise(classes.join(keys, "key").select("key", F.col("first").alias("_first")), "wanted")
+    texts = src.join(wanted.select("_first").distinct(), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    items = materialise(_sets(texts, words), "sets")
     found = (near.join(items.select(F.col("key").alias("a"), F.col("items").alias("ia")), "a")
              .join(items.select(F.col("key").alias("b"), F.col("items").alias("ib")), "b"))
     common = F.size(F.array_intersect("ia", "ib"))
-    return found.filter(common * 100 >= (F.col("both") - common) * percent).select("a", "b")
+    return materialise(found.filter(common * 100 >= (F.col("both") - common) * percent).select("a", "b").distinct(), "links")
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -259,7 +300,8 @@ def _cross_pairs(rows: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
     y = full.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).alias("y")
     met = (F.col("x.entry") == F.col("y.entry")) & (F.col("x.block") == F.col("y.block"))
     apart = (F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-    return x.join(y, met & apart & _may_link(percent)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+    return (x.join(y, met & apart & _may_link(percent))
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct())
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,7 +310,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     marks = [f"s{k}" for k in range(SKETCH_WORDS)]
     profile = materialise(_profile(src, words), "profiles")
     sets = profile.filter("n > 0")
-    classes = materialise(sets.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in marks]), "classes")
+    classes = materialise(sets.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in [*marks, "counts"]]), "classes")
     edges = band_edges(classes.agg(F.max("n")).first()[0] or 0)
     bands = classes.groupBy(range_of(F.col("n"), edges).alias("band")).agg(F.count(F.lit(1)).alias("sets")).collect()   # a row per band
     plans = make_plans({r.band: r.sets for r in bands}, edges, percent)
@@ -280,25 +322,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
 
     company = shared.groupBy("key").agg(F.sum(F.col("members") - 1).alias("company"))
     place = F.row_number().over(Window.partitionBy("entry").orderBy(F.desc("company"), "key"))
-    hubs = materialise(shared.join(company, "key").withColumn("place", place).filter(F.col("place") <= STAR_ROUNDS)
-                       .select("entry", F.col("key").alias("hub"), "place"), "hubs")
-    narrow = materialise(classes.join(company.select("key"), "key").select("key", "first", "n", *marks), "classes-shared")
-    firsts = narrow.select(F.col("first").alias("_first")).distinct()
-    texts = src.join(firsts, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    items = materialise(_sets(texts, words).dropDuplicates(["key"]), "sets")
+    hubs = shared.join(company, "key").withColumn("place", place).filter(F.col("place") <= HUBS).select("entry", F.col("key").alias("hub"))
+    narrow = materialise(classes.join(company.select("key"), "key").select("key", "n", *marks), "classes-shared")
 
     twice = sets.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("high")).filter("a != high and doc_id is not null")
-    linked = materialise(sets.join(twice, "doc_id").select("a", F.col("key").alias("b")).filter("a != b").distinct(), "links")
-    rows = shared.withColumn("component", F.col("key"))
-    for turn in range(STAR_ROUNDS):
-        star = rows.join(hubs.filter(F.col("place") == turn + 1), "entry").filter("key != hub").select(*_pair("key", "hub")).distinct()
-        linked = linked.unionByName(materialise(_links(star, narrow, items, percent), "links"))
-        parts = materialise(components(linked), "components")
-        rows = materialise(_open_buckets(shared, parts), "open")
-        if rows.isEmpty():
-            break
-    rest = _cross_pairs(rows, narrow.drop("first"), percent)
-    linked = linked.unionByName(materialise(_links(rest, narrow, items, percent), "links"))
+    same_id = sets.join(twice, "doc_id").select("a", F.col("key").alias("b")).filter("a != b").distinct()
+    star = shared.select("entry", "key").join(hubs, "entry").filter("key != hub").groupBy("key", "hub").agg(F.count(F.lit(1)).alias("met"))
+    best = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "hub"))
+    star = star.withColumn("best", best).filter(F.col("best") <= BEST_HUBS).select(*_pair("key", "hub")).distinct()
+    near = _near(_bounded(star, narrow, percent), classes, percent)
+    linked = materialise(same_id, "links").unionByName(_links(near, classes, src, words, percent))
+    parts = materialise(components(linked), "components")
+    rest = _near(_cross_pairs(_open_buckets(shared, parts), narrow, percent).join(near, ["a", "b"], "left_anti"), classes, percent)
+    if not rest.isEmpty():
+        linked = linked.unionByName(_links(rest, classes, src, words, percent))
     parts = components(linked)
 
     placed = classes.select("key", "first").join(parts.select(F.col("id").alias("key"), "component"), "key", "left").select(

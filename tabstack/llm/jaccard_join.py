@@ -11,6 +11,11 @@ Documents are sets of word shingles; two link when 100 |x & y| >= T |x | y|.
    that differ once in it and counts for two, so d such segments save d
    segments and make all others larger.  d is chosen for each instance by its
    cost: index entries, and chance meetings of the sets that it holds.
+   The costly entries are those of empty subsets, which any two sets may
+   share.  With d = 0 they name the next segment's one-deletion neighbourhood
+   instead: if each equal segment were followed by one that differs twice or
+   more, the differences would add up to m, which is more than H.  So some
+   equal segment is followed by one that differs once at most; it is found.
 3. Sets that share an index entry are candidates.  In each entry's bucket the
    few sets with the most company are its hubs; each set is compared first with
    the hubs that it shares most entries with, and links join components.  Then only pairs of different components remain and
@@ -91,19 +96,21 @@ def band_edges(limit: int, ratio: float = BAND_RATIO) -> list[int]:
 class Plan:
     """Segments of one instance: ``m`` in all, the first ``d`` with one-deletion neighbourhoods."""
 
-    def __init__(self, low: int, high: int, bound: int, sets: int):
+    def __init__(self, low: int, high: int, bound: int, sets: int, d: int | None = None):
         self.low, self.high, self.bound = low, high, bound
         size = (low + high) / 2
         tried = range(0, bound // 2 + 1, max(1, bound // 64))
-        self.d = min(tried, key=lambda d: (self.cost(d, size, sets), d))
+        self.d = min(tried, key=lambda d: (self.cost(d, size, sets), d)) if d is None else d
         self.m = bound + 1 - self.d
 
     def cost(self, d: int, size: float, sets: int) -> float:
-        """Index entries plus expected chance meetings: both subsets empty, or within a deletion of empty."""
+        """Index entries plus expected chance meetings: both subsets empty (and, for d = 0, the
+        next ones within a deletion), or within a deletion of empty."""
         m = self.bound + 1 - d
         mean = size / m
-        entries = sets * ((m - d) + d * (1 + mean))
-        meet = (m - d) * math.exp(-2 * mean) + d * (math.exp(-mean) * (1 + mean)) ** 2
+        close = (math.exp(-mean) * (1 + mean)) ** 2
+        entries = sets * ((m - d) + d * (1 + mean) + (0 if d else m * math.exp(-mean) * mean))
+        meet = (m - d) * math.exp(-2 * mean) * (1 if d else close) + d * close
         return entries + sets * sets / 2 * meet
 
     def entries(self, s: np.ndarray, instance: int) -> np.ndarray:
@@ -119,6 +126,15 @@ class Plan:
             inner = slice(0, at[self.d])
             sums = np.concatenate([sums, sums[segment[inner]] - mixed[inner]])
             place = np.concatenate([place, place[segment[inner]]])
+        else:
+            empty = np.flatnonzero(at[1:] == at[:-1])
+            if len(empty):      # their entries name the next subset's one-deletion neighbourhood instead
+                after = (empty + 1) % self.m
+                mark = place[empty] + np.uint64(1 << 62)
+                near = [sums[n: n + 1] - np.concatenate([np.zeros(1, np.uint64), mixed[at[n]: at[n + 1]]]) for n in after.tolist()]
+                full = at[1:] > at[:-1]
+                place = np.concatenate([place[full], np.repeat(mark, [len(x) for x in near])])
+                sums = np.concatenate([sums[full], *near])
         key = (sums + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0x94D049BB133111EB)
         return np.unique(key ^ (key >> np.uint64(31)))
 

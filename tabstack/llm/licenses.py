@@ -1,7 +1,10 @@
 """License scan by conditional compression (operator 3).
 
-Blocks of text with license wording are compressed twice: alone, and with a
-license template as raw Zstandard dictionary.  The more a template says of the
+Blocks of text with license wording are found by parts of the templates: a
+passage within k edits of a template holds one of any k + 1 parts of it word
+for word, so no notice lies outside the blocks, however its lines are wrapped.
+Blocks are compressed twice: alone, and with a license template as raw
+Zstandard dictionary.  The more a template says of the
 block, the more bytes it saves; templates are ranked by that reduction.  The
 best are then confirmed by their exact wording: the fewest word insertions,
 deletions and replacements that turn the template into some passage of the
@@ -31,7 +34,7 @@ from tabstack.llm.common import map_batches
 
 MIN_REDUCTION = 0.2     # bytes saved by the template, as a share of the block alone
 MAX_DIFFERENCES = 0.1   # changed words, as a share of the template's
-BRIDGE = 3              # sentences without a cue that a block may hold between two with one
+BARRED = 1 << 20        # cost of an edit that is never allowed
 
 #: Notices of public licenses.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -61,52 +64,97 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 #: Words that tell licenses apart.
 KEY_WORDS = frozenset("apache mit gnu gpl lesser affero general mozilla bsd cc by nc sa nd creative commons attribution "
                       "sharealike noncommercial noderivatives unencumbered public".split())
-CUE = r"licen[cs]e|permission (?:is|to)|redistribut|public domain|creative commons|\bcc by\b|\bgpl\b|free software"
 
-_CUE = re.compile(CUE, re.I)
-_SENTENCE = re.compile(r"[^\n]+?(?:[.;:!?](?=\s)|(?=\n)|$)\s*", re.M)
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 
+def folded(text: str) -> str:
+    """Lower case, character by character where ``lower`` would move places."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 def tokens(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
-
-
-def blocks(text: str, bridge: int = BRIDGE) -> list[tuple[int, int]]:
-    """Spans of runs of sentences with license wording, with up to ``bridge`` others between two of them."""
-    spans, last, k = [], None, -1
-    if not _CUE.search(text):
-        return spans
-    for k, m in enumerate(_SENTENCE.finditer(text)):
-        if not _CUE.search(m.group()):
-            continue
-        if last is not None and k - last <= bridge + 1:
-            spans[-1][1] = m.end()
+    return _WORD.findall(folded(text))
+
+
+def parts(own: list[str], max_differences: float = MAX_DIFFERENCES) -> list[tuple[int, list[str]]]:
+    """A template in one part more than it may have edits, each with its place: a passage within the edits holds one unchanged."""
+    n = int(max_differences * len(own)) + 1
+    cuts = [k * len(own) // n for k in range(n + 1)]
+    return [(a, own[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def cue(templates=TEMPLATES, max_differences: float = MAX_DIFFERENCES) -> str:
+    """Expression, for lower case, that is found in every text with a part of a template (and in some without)."""
+    def wording(words):
+        return "".join(re.escape(w) + (r"[\W_]*" if "." in w else r"[\W_]+") for w in words[:-1]) + re.escape(words[-1])
+    return "(?<![a-z])(?:" + "|".join(sorted({wording(p) for _, t in templates for _, p in parts(tokens(t), max_differences)})) + ")"
+
+
+_CUE = re.compile(cue(), re.I)
+
+
+def stretches(words: list[str], own: list[str], max_differences: float = MAX_DIFFERENCES) -> list[tuple[int, int]]:
+    """Spans of ``words``, each at most the template and its edits long, one of which holds any passage within the edits."""
+    line = " " + " ".join(words) + " "
+    edits, found = int(max_differences * len(own)), []
+    for place, part in parts(own, max_differences):
+        key = " " + " ".join(part) + " "
+        at = line.find(key)
+        while at >= 0:
+            found.append((at, place))
+            at = line.find(key, at + 1)
+    if not found:
+        return []
+    at, place = np.array(found).T
+    starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+    first = np.unique(np.searchsorted(starts, at) - place)
+    return [(max(0, f - edits), min(len(words), f + len(own) + edits)) for f in first.tolist()]
+
+
+def blocks(text: str, templates=TEMPLATES, max_differences: float = MAX_DIFFERENCES) -> list[tuple[int, int]]:
+    """Spans of ``text`` outside which no passage is a template within the edits: its stretches, joined where they meet."""
+    where = [m.span() for m in _WORD.finditer(folded(text))]
+    words, spans = tokens(text), []
+    for a, b in sorted({x for _, t in templates for x in stretches(words, tokens(t), max_differences)}):
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b)
         else:
-            spans.append([m.start(), m.end()])
-        last = k
-    return [(a, a + len(text[a:b].rstrip())) for a, b in spans]
+            spans.append([a, b])
+    return [(where[a][0], where[b - 1][1]) for a, b in spans]
+
+
+def fixed(word: str) -> bool:
+    """Words that no edit may touch."""
+    return word in KEY_WORDS or any(c.isdigit() for c in word)
+
 
+def differences(template: list[str], block: list[str], barred=None) -> tuple[int, set[str]]:
+    """Fewest word edits that turn ``template`` into some passage of ``block``, and the words they touch.
 
-def differences(template: list[str], block: list[str]) -> tuple[int, set[str]]:
-    """Fewest word edits that turn ``template`` into some passage of ``block``, and the words they touch."""
+    An edit of a word for which ``barred`` holds costs ``BARRED``, so another passage is not hidden behind it.
+    """
     rows, cols = len(template), len(block)
-    cost = np.zeros((rows + 1, cols + 1), np.int32)
-    cost[:, 0] = np.arange(rows + 1)
+    gone, new = (np.array([BARRED if barred and barred(w) else 1 for w in ws], np.int64) for ws in (template, block))
+    cost = np.zeros((rows + 1, cols + 1), np.int64)
+    cost[1:, 0] = np.cumsum(gone)
     same = np.array([[a == b for b in block] for a in template], bool).reshape(rows, cols)
+    swap = np.where(same, 0, np.maximum(gone[:, None], new[None, :]))
+    added = np.concatenate([[0], np.cumsum(new)])
     for i in range(1, rows + 1):
-        line = np.minimum(cost[i - 1, :-1] + ~same[i - 1], cost[i - 1, 1:] + 1)
-        # an insertion extends the cell to the left: running minimum of cost minus column
-        line = np.concatenate([[cost[i, 0]], line]) - np.arange(cols + 1)
-        cost[i] = np.minimum.accumulate(line) + np.arange(cols + 1)
+        line = np.minimum(cost[i - 1, :-1] + swap[i - 1], cost[i - 1, 1:] + gone[i - 1])
+        # an insertion extends the cell to the left: running minimum of cost minus the insertions up to it
+        line = np.concatenate([[cost[i, 0]], line]) - added
+        cost[i] = np.minimum.accumulate(line) + added
     i, j = rows, int(np.argmin(cost[rows]))
     total, touched = int(cost[rows, j]), set()
     while i and total:
-        if j and cost[i, j] == cost[i - 1, j - 1] + (not same[i - 1, j - 1]):
+        if j and cost[i, j] == cost[i - 1, j - 1] + swap[i - 1, j - 1]:
             if not same[i - 1, j - 1]:
                 touched |= {template[i - 1], block[j - 1]}
             i, j = i - 1, j - 1
-        elif cost[i, j] == cost[i - 1, j] + 1:
+        elif cost[i, j] == cost[i - 1, j] + gone[i - 1]:
             touched.add(template[i - 1])
             i -= 1
         else:
@@ -116,12 +164,12 @@ def differences(template: list[str], block: list[str]) -> tuple[int, set[str]]:
 
 
 def allowed(edits: int, touched: set[str], size: int, max_differences: float = MAX_DIFFERENCES) -> bool:
-    return edits <= max_differences * size and not any(t in KEY_WORDS or any(c.isdigit() for c in t) for t in touched)
+    return edits <= max_differences * size and not any(map(fixed, touched))
 
 
 class Scanner:
     def __init__(self, templates=TEMPLATES, min_reduction: float = MIN_REDUCTION, max_differences: float = MAX_DIFFERENCES):
-        self.min_reduction, self.max_differences = min_reduction, max_differences
+        self.notices, self.min_reduction, self.max_differences = templates, min_reduction, max_differences
         self.alone = zstandard.ZstdCompressor(level=9, write_content_size=False)
         self.templates = []
         for name, text in templates:
@@ -146,14 +194,14 @@ class Scanner:
         for gain, name, own in self.ranked(words):
             if gain * len(" ".join(words)) < self.min_reduction * len(" ".join(own)):
                 continue
-            edits, touched = differences(own, words)
+            edits, touched = differences(own, words, fixed)
             if allowed(edits, touched, len(own), self.max_differences) and (name not in found or (edits, -gain) < (found[name]["differences"], -found[name]["reduction"])):
                 found[name] = {"license": name, "reduction": gain, "differences": edits}
         return [found[k] for k in sorted(found)]
 
     def scan(self, text: str | None) -> list[dict]:
         out = []
-        for a, b in blocks(text or ""):
+        for a, b in blocks(text or "", self.notices, self.max_differences):
             out += [{**f, "start": a, "length": b - a} for f in self.block(text[a:b])]
         return out
 
@@ -161,8 +209,8 @@ class Scanner:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
          min_reduction: float = MIN_REDUCTION, max_differences: float = MAX_DIFFERENCES) -> DataFrame:
     """``id_col``, ``licenses`` (sorted ids) and ``findings`` (spans in code points) of every row."""
-    cue = F.col(text_col).rlike("(?i)" + CUE)
-    src = docs.select(F.col(id_col).alias("id"), F.when(cue, F.col(text_col)).alias("text"))   # other texts need not leave the JVM
+    hint = F.lower(text_col).rlike(cue(templates, max_differences))
+    src = docs.select(F.col(id_col).alias("id"), F.when(hint, F.col(text_col)).alias("text"))   # other texts need not leave the JVM
     id_type = docs.schema[id_col].dataType.simpleString()
     kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
                                ("reduction", pa.float64()), ("differences", pa.int64())]))

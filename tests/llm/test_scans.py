@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import zstandard
@@ -65,6 +66,46 @@ def test_license_edge_rows(spark, docs_of):
     assert licenses.scan(docs_of(rows).limit(0)).count() == 0
 
 
+def whole_text(text):
+    """Every template aligned with the whole text, without blocks, parts or compression."""
+    words, out = licenses.tokens(text), set()
+    for name, notice in licenses.TEMPLATES:
+        own = licenses.tokens(notice)
+        edits, touched = licenses.differences(own, words, licenses.fixed)
+        if licenses.allowed(edits, touched, len(own)):
+            out.add(name)
+    return sorted(out)
+
+
+def test_wrapped_notices_equal_alignment_with_whole_text():
+    scanner = licenses.Scanner()
+    for name, notice in licenses.TEMPLATES:
+        for width in (20, 40, 60, 72, 78, 10_000):
+            for mark in ("", "# ", " * "):
+                lines = textwrap.wrap(notice, width)
+                for body in (lines, [x for line in lines for x in (line, "", "--", "", "~")]):
+                    text = "Some code.\n" + "\n".join(mark + x for x in body) + "\nint main()\n"
+                    found = sorted({f["license"] for f in scanner.scan(text)})
+                    assert name in found and found == whole_text(text)
+
+
+def test_edited_notices_equal_alignment_with_whole_text(spark, docs_of):
+    rng = np.random.default_rng(11)
+    texts = ["2.0licensed under\u00e9the_APACHE License, Version 2.0or later", "\u0130\u0130 Licensed under CC BY 4.0. \u0130"]
+    for k in range(400):
+        words = []
+        for t in rng.integers(0, len(licenses.TEMPLATES), rng.integers(1, 4)):
+            own = licenses.TEMPLATES[t][1].split()
+            for _ in range(rng.integers(0, len(own) // 10 + 2)):
+                at = int(rng.integers(0, len(own)))
+                own[at: at + int(rng.integers(0, 2))] = ["other"] * int(rng.integers(0, 2))
+            words += own + ["filler"] * int(rng.integers(0, 30))
+        texts.append(textwrap.fill(" ".join(words), int(rng.integers(20, 100))))
+    found = {r.doc_id: r.licenses for r in licenses.scan(docs_of(list(enumerate(texts)))).collect()}
+    for k, text in enumerate(texts):
+        assert found[k] == whole_text(text), text
+
+
 # --- WARC ---
 
 def expected(rows):

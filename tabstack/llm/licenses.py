@@ -34,6 +34,7 @@ from tabstack.llm.common import map_batches
 
 MIN_REDUCTION = 0.2     # bytes saved by the template, as a share of the block alone
 MAX_DIFFERENCES = 0.1   # changed words, as a share of the template's
+COUNTED = 64            # characters of a word that count in the reduction
 BARRED = 1 << 20        # cost of an edit that is never allowed
 
 #: Notices of public licenses.
@@ -167,32 +168,35 @@ def allowed(edits: int, touched: set[str], size: int, max_differences: float = M
     return edits <= max_differences * size and not any(map(fixed, touched))
 
 
+def wire(words: list[str]) -> bytes:
+    """Words as they are compressed; a very long one next to a notice would hide what the template saves."""
+    return " ".join(w[:COUNTED] for w in words).encode("utf-8", "replace")
+
+
 class Scanner:
     def __init__(self, templates=TEMPLATES, min_reduction: float = MIN_REDUCTION, max_differences: float = MAX_DIFFERENCES):
         self.notices, self.min_reduction, self.max_differences = templates, min_reduction, max_differences
         self.alone = zstandard.ZstdCompressor(level=9, write_content_size=False)
         self.templates = []
         for name, text in templates:
-            raw = " ".join(tokens(text)).encode()
-            held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held = zstandard.ZstdCompressionDict(wire(tokens(text)), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, tokens(text), zstandard.ZstdCompressor(level=9, dict_data=held, write_content_size=False)))
 
-    def ranked(self, words: list[str]) -> list[tuple[float, str, list[str]]]:
-        """Templates by how much they shorten the block, the best first."""
-        raw = " ".join(words).encode()
-        alone = len(self.alone.compress(raw))
+    def ranked(self, words: list[str]) -> list[tuple[float, str, list[str], list[str]]]:
+        """Stretches of the block with the template that may stand there, by how much it shortens them, the best first."""
         out = []
         for name, own, packer in self.templates:
-            # measured on the best-fitting stretch too: a long block hides a short notice
-            out.append((1 - len(packer.compress(raw)) / alone, name, own))
+            # a stretch is as long as the template and its edits: a long block would hide what the template saves
+            for a, b in stretches(words, own, self.max_differences):
+                raw = wire(words[a:b])
+                out.append((1 - len(packer.compress(raw)) / len(self.alone.compress(raw)), name, own, words[a:b]))
         return sorted(out, key=lambda x: (-x[0], x[1]))
 
     def block(self, text: str) -> list[dict]:
         """Confirmed licenses of one block: of each license the wording with the fewest differences."""
-        words = tokens(text)
         found: dict[str, dict] = {}
-        for gain, name, own in self.ranked(words):
-            if gain * len(" ".join(words)) < self.min_reduction * len(" ".join(own)):
+        for gain, name, own, words in self.ranked(tokens(text)):
+            if gain * len(wire(words)) < self.min_reduction * len(wire(own)):
                 continue
             edits, touched = differences(own, words, fixed)
             if allowed(edits, touched, len(own), self.max_differences) and (name not in found or (edits, -gain) < (found[name]["differences"], -found[name]["reduction"])):

@@ -106,6 +106,31 @@ def test_edited_notices_equal_alignment_with_whole_text(spark, docs_of):
         assert found[k] == whole_text(text), text
 
 
+def test_exact_notices_in_long_blocks():
+    rng = np.random.default_rng(12)
+    scanner = licenses.Scanner()
+    vocabulary = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(3_000)]
+    for size in (1_000, 5_000, 20_000, 100_000):
+        words = [vocabulary[k] for k in rng.integers(0, len(vocabulary), size)]
+        for cues in (0, 7):     # with license words all along the line or without
+            line = [w if not cues or k % cues else "redistributed" for k, w in enumerate(words)]
+            for name, notice in licenses.TEMPLATES:
+                at = int(rng.integers(0, size))
+                assert name in {f["license"] for f in scanner.scan(" ".join([*line[:at], notice, *line[at:]]))}
+    # one dense block of several KB: every notice, again and again
+    order = [int(k) for _ in range(10) for k in rng.permutation(len(licenses.TEMPLATES))]
+    dense = " ".join(licenses.TEMPLATES[k][1] for k in order)
+    assert len(licenses.blocks(dense)) == 1
+    assert {f["license"] for f in scanner.scan(dense)} == {name for name, _ in licenses.TEMPLATES}
+    # every notice once, in the middle of one block of another's
+    for name, notice in licenses.TEMPLATES:
+        others = " ".join(t for n, t in licenses.TEMPLATES * 4 if n != name)
+        assert name in {f["license"] for f in scanner.scan(f"{others} {notice} {others}")}
+    blob = rng.bytes(100_000).hex()
+    for name, notice in licenses.TEMPLATES:
+        assert name in {f["license"] for f in scanner.scan(f"{blob} {notice} {blob}")}
+
+
 # --- WARC ---
 
 def expected(rows):

@@ -13,6 +13,10 @@ key word of the license, since those tell licenses and versions apart.
 
 Whole texts are scanned; a row comes back for each document.
 
+The sentence that all BSD licenses share is reported as ``BSD``; with the clause
+on names the text is ``BSD-3-Clause`` too, with the disclaimer right after the
+second clause ``BSD-2-Clause``.
+
 Edge cases: null, empty and cue-less texts have no findings; of templates with
 equal reduction and differences the id that sorts first wins; repeated rows
 give repeated results; extra columns are ignored; an empty table gives an
@@ -49,7 +53,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -61,6 +65,9 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # the sentence above is common to the family: the clause on names makes three clauses, its absence before the disclaimer two
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""),
 )
 #: Words that tell licenses apart.
 KEY_WORDS = frozenset("apache mit gnu gpl lesser affero general mozilla bsd cc by nc sa nd creative commons attribution "

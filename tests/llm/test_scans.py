@@ -131,6 +131,18 @@ def test_exact_notices_in_long_blocks():
         assert name in {f["license"] for f in scanner.scan(f"{blob} {notice} {blob}")}
 
 
+def test_bsd_clauses_tell_the_licenses_apart():
+    notices = {n: t for n, t in licenses.TEMPLATES if n.startswith("BSD")}
+    head = notices["BSD"] + ":\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n2. "
+    binary, _, disclaimer = notices["BSD-2-Clause"].partition(" THIS SOFTWARE")
+    disclaimer = "THIS SOFTWARE" + disclaimer + " AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."
+    two, three = f"{head}{binary}\n\n{disclaimer}", f"{head}{binary}\n3. {notices['BSD-3-Clause']}.\n\n{disclaimer}"
+    scanner = licenses.Scanner()
+    for width in (40, 78, 10_000):
+        got = [{f["license"] for f in scanner.scan(textwrap.fill(t, width))} for t in (notices["BSD"], two, three)]
+        assert got == [{"BSD"}, {"BSD", "BSD-2-Clause"}, {"BSD", "BSD-3-Clause"}]
+
+
 # --- WARC ---
 
 def expected(rows):

@@ -19,10 +19,14 @@ MIN_SHARE = 0.5     # a document needs a language that holds half of it
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a main language; null, letterless and evenly mixed texts go."""
-    langs, model = langid.fit(docs, id_remainder("doc_id", 4) != 2)
-    found = langid.predict(docs, langs, model, keep=COLUMNS[1:])
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SHARE)).select(*COLUMNS)
+    """Documents with a main language; null, letterless and evenly mixed texts go, and texts that no learned language fits."""
+    held = id_remainder("doc_id", 4) == 2
+    langs, model = langid.fit(docs, ~held)
+    found = langid.predict(docs, langs, model, keep=COLUMNS[1:], with_fit=True)
+    kept = (F.col("lang_pred") != "und") & (F.col("score") >= MIN_SHARE)
+    for lang, bar in langid.bars(docs.filter(held), langs, model).items():
+        kept &= (F.col("lang_pred") != lang) | (F.col("fit") >= bar)
+    return found.filter(kept).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,9 @@ SAMPLE_PER_LANG = 5_000
 SMOOTHING = 0.05
 PENALTY = 3.0      # log-likelihood units per ln(number of trigrams) and added language
 ROUNDS = 25
+NOISE = 6.0        # a fit's allowance for chance, over the root of the number of trigrams
+BELOW = 2.5        # least distance of a bar from the median fit, in log-likelihood per trigram
+SPREADS = 4.0      # the same in distances from the median to the lowest twentieth
 
 
 @lru_cache(maxsize=1)
@@ -140,25 +143,46 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
 
 def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
-            keep: tuple[str, ...] = (), penalty: float = PENALTY) -> DataFrame:
-    """``id_col``, the columns in ``keep``, ``lang_pred``, ``score`` (its share) and ``shares`` of every row."""
+            keep: tuple[str, ...] = (), penalty: float = PENALTY, with_fit: bool = False) -> DataFrame:
+    """``id_col``, the columns in ``keep``, ``lang_pred``, ``score`` (its share) and ``shares`` of every row.
+
+    ``with_fit`` adds ``fit``: the log-likelihood of a trigram under the mixture
+    and an allowance for short texts, null where nothing was found.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))
     src = docs.select(F.col(text_col).alias("body"), F.struct(id_col, *keep).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = held.value.astype(np.float64)
         for b in batches:
-            names, scores, sets = [], [], []
+            names, scores, sets, fits = [], [], [], []
             for text in b.column(0):
                 grams, counts = trigrams(text.as_py())
                 found = infer(p, grams, counts, penalty) if len(grams) and langs else []
                 names.append(langs[found[0][0]] if found else "und")
                 scores.append(min(1.0, found[0][1]) if found else 0.0)
                 sets.append([{"lang": langs[j], "share": x} for j, x in found])
+                if with_fit:
+                    mixed = p[grams][:, [j for j, _ in found]] @ np.array([x for _, x in found])
+                    fits.append(float(counts @ np.log(mixed)) / counts.sum() + NOISE / np.sqrt(counts.sum()) if found else None)
             kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
+            more = [pa.array(fits, pa.float64())] if with_fit else []
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                                              pa.array(sets, kind)], names=["row", "lang_pred", "score", "shares"])
+                                              pa.array(sets, kind), *more], names=["row", "lang_pred", "score", "shares", *extra])
 
+    extra = ["fit"] if with_fit else []
     row = src.schema["row"].dataType.simpleString()
-    out = map_batches(src, run, f"row {row}, lang_pred string, score double, shares array<struct<lang:string,share:double>>")
-    return out.select("row.*", "lang_pred", "score", "shares")
+    out = map_batches(src, run, f"row {row}, lang_pred string, score double, shares array<struct<lang:string,share:double>>" + (", fit double" if with_fit else ""))
+    return out.select("row.*", "lang_pred", "score", "shares", *extra)
+
+
+def bars(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+         lang_col: str = "lang") -> dict[str, float]:
+    """Of each language the fit far below that of the labelled rows ``docs``; up to a twentieth of them may be wrong.
+
+    The rows should not be those the model was learned from, which fit it too well.
+    """
+    named = docs.filter(F.col(lang_col).isNotNull()).select(id_col, text_col, F.col(lang_col).cast("string").alias("_label"))
+    fits = predict(named, langs, model, id_col, text_col, keep=("_label",), with_fit=True).filter("fit is not null")
+    found = fits.groupBy("_label").agg(F.percentile_approx("fit", [0.5, 0.05], 10_000).alias("q")).collect()    # a row per language
+    return {r["_label"]: r.q[0] - max(BELOW, SPREADS * (r.q[0] - r.q[1])) for r in found}

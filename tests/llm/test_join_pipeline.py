@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabstack.llm import jaccard_join as J
+from tabstack.llm import langid
+from tabstack.llm.common import id_remainder
 from tabstack.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -134,3 +136,21 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs_out = stage(spark, docs, SF)
         assert docs_out.count() == 0
+
+
+def test_language_stage_drops_texts_that_no_learned_language_fits(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    gibberish = " ".join("".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(200))
+    finnish = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+               "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.")
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью."
+    with open(langid.__file__) as f:
+        strange = [gibberish, finnish, russian, f.read(), rng.bytes(500).hex()]
+    rows = [(-1 - k, t, label, "src0", len(t)) for k, t in enumerate(strange * 2) for label in ("en" if k % 2 else None,)]
+    mixed = docs.select(*corpus_pipeline.COLUMNS).unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r.doc_id for r in corpus_pipeline.keep_language(spark, mixed, "").select("doc_id").collect()}
+    langs, model = langid.fit(mixed, id_remainder("doc_id", 4) != 2)
+    before = {r.doc_id for r in langid.predict(docs, langs, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).collect()}
+    assert kept == before and not any(k < 0 for k in kept)

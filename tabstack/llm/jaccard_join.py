@@ -320,9 +320,8 @@ def _cross_pairs(rows: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
             .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct())
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` (smallest id reachable by links) of every row of ``docs``."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def _members(src: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n_shingles, key`` (null: empty set) of every row; ``key, component, component_id`` of every set."""
     marks = [f"s{k}" for k in range(SKETCH_WORDS)]
     profile = materialise(_profile(src, words), "profiles")
     sets = profile.filter("n > 0")
@@ -357,13 +356,34 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     placed = classes.select("key", "first").join(parts.select(F.col("id").alias("key"), "component"), "key", "left").select(
         "key", "first", F.coalesce("component", "key").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "component").select("key", "component_id")
-    out = profile.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key")).join(named, "key", "left")
+    named = placed.join(smallest, "component").select("key", "component", "component_id")
+    return profile.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key")), named
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` (smallest id reachable by links) of every row of ``docs``."""
+    rows, named = _members(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), words, percent)
+    out = rows.join(named, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the rows that another document of their component (a smaller id) stands for; of rows of equal id all stay."""
-    members = jaccard_components(docs, words, percent)
-    gone = members.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each component of ``docs``, and every row with an empty set.
+
+    The row with the smallest id stays (null ids last); of rows of equal id, or
+    of a component without ids, the one whose text's hash, then whole row, is
+    smallest.
+    """
+    rows, named = _members(docs.select("doc_id", "text"), words, percent)
+    gone = rows.join(named, "key").filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_id")).distinct()
+    again = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 or _id is null").select("_id")
+    if again.isEmpty():
+        return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    single = docs.join(again, same, "left_anti").join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    # rows without an id of their own are told apart by their sets, which are made again
+    found = _profile(docs.join(again, same, "left_semi").select(F.struct("*").alias("doc_id"), "text"), words).select(F.col("doc_id").alias("row"), "n", "key")
+    empty = found.filter("n = 0").select("row.*")
+    rivals = found.filter("n > 0").join(named, "key").filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("row.doc_id")))
+    best = rivals.groupBy("component").agg(F.min(F.struct(F.xxhash64("row.text").alias("hash"), "row")).alias("best"))
+    return single.unionByName(empty).unionByName(best.select("best.row.*"))

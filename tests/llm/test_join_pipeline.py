@@ -154,3 +154,17 @@ def test_language_stage_drops_texts_that_no_learned_language_fits(spark):
     langs, model = langid.fit(mixed, id_remainder("doc_id", 4) != 2)
     before = {r.doc_id for r in langid.predict(docs, langs, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).collect()}
     assert kept == before and not any(k < 0 for k in kept)
+
+
+def test_one_row_of_each_component_stays(spark, docs_of):
+    lone, other, third = "a b c d e f g", "h i j k l m n o", "p q r s t u v w"
+    rows = [(1, lone), (1, lone), (1, lone.upper()), (2, lone), (None, lone), (None, other), (None, other), (None, other + " "),
+            (5, third), (4, third), (4, third), (4, "a text of its own in the same document"), (4, None), (6, ""), (6, ""), (None, None), (None, " "), (7, "one more text")]
+    want = [(0, None), (0, " "), (0, other), (1, lone), (4, third), (4, None), (6, ""), (6, ""), (7, "one more text")]
+    got = [(r.doc_id or 0, r.text) for r in J.keep_first(docs_of(rows)).collect()]
+
+    def plain(found):    # of texts with equal sets either may stay; a document's texts are one component
+        texts = {"a text of its own in the same document": third}
+        return sorted((i, texts.get(t, t) if not t or not t.strip() else texts.get(t, t).strip().lower()) for i, t in found if t is not None), sum(t is None for _, t in found)
+    assert plain(got) == plain(want)
+    assert sorted(map(str, got)) == sorted(str((r.doc_id or 0, r.text)) for r in J.keep_first(docs_of(rows[::-1]).repartition(5)).collect())

@@ -51,7 +51,6 @@ CHUNK_TOKENS = 400_000
 BUCKET_TOKENS = 2_000_000     # tokens per bucket, from which the number of buckets follows
 END = np.uint64(0x9D8F1A6C3B5E7421)   # stands for the end mark (and, as a state, for the start)
 CLASSES, BINS = 40, 80
-PAIR_BITS = 40
 
 
 def pack_ints(a: np.ndarray) -> bytes:
@@ -142,18 +141,11 @@ class Chunk:
         return self
 
     def asks(self, bits: int) -> Iterator[tuple[str, int, bytes, bytes]]:
-        """(kind, bucket, keys, training counts) for each bucket that has any.
-
-        Words are asked for by 64 bits.  Pairs by the bucket and PAIR_BITS more:
-        buckets have a fixed mean size, so the chance that a pair shares its key
-        with another is about one in a million for any corpus.
-        """
+        """(kind, bucket, keys, training counts) for each bucket that has any; words and pairs are asked for by 64 bits."""
         own = {"word": np.bincount(self.words[self.trains], minlength=len(self.keys["word"])),
                "pair": np.bincount(self.pair[self.trains], minlength=len(self.pairs))}
         for kind, order in self.order.items():
             keys, counts = self.keys[kind][order], own[kind][order]
-            if kind == "pair":
-                keys = (keys << np.uint64(bits)) >> np.uint64(64 - PAIR_BITS)
             for bucket, lo, hi in self._buckets(kind, bits):
                 yield kind, bucket, pack_sorted(keys[lo:hi]), pack_ints(counts[lo:hi])
 

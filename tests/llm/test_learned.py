@@ -135,3 +135,12 @@ def test_lm_beats_base_on_held_out(spark):
     got = [r for r in QUERIES["op9_lm_scoring"](spark, SF).collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
     assert np.mean([r.score >= r.base_score for r in got]) > 0.85
+
+
+def test_pairs_whose_keys_differ_in_the_last_bits_are_asked_for_apart():
+    for bits in (0, 3):
+        chunk = lm.Chunk([True], [4], lm.pack_ints(np.array([1, 2, 1, 3]))).with_keys(np.arange(4, dtype=np.uint64).tobytes())
+        chunk.keys["pair"] = np.uint64(0x9D8F1A6C3B5E7420) + np.arange(len(chunk.pairs), dtype=np.uint64)
+        chunk.order["pair"] = np.argsort(chunk.keys["pair"], kind="stable")
+        asked = [k for kind, _, keys, _ in chunk.asks(bits) if kind == "pair" for k in lm.unpack_sorted(keys).tolist()]
+        assert len(set(asked)) == len(chunk.pairs) == 4

@@ -5,10 +5,10 @@ content words behind it; common words in between are passed over.  Navigation,
 tables and lists have few common words, so the signatures stand for the prose
 of a document.  The fingerprint is the set of its signatures' hashes.
 
-:func:`near_duplicates` compares fingerprints by Jaccard similarity.  Sets are
-partitioned by length: only lengths within the threshold's ratio can meet, and
-a set is indexed by its rarest hashes only (the prefix that any partner must
-share); the length bound prunes pairs before they are compared exactly.
+:func:`near_duplicates` compares fingerprints by Jaccard similarity.  A set is
+indexed by its rarest hashes only (the prefix that any partner must share) and
+sets meet by hash alone; the length bound prunes pairs before they are compared
+exactly.  A hash in many prefixes makes all their pairs.
 
 Edge cases: null text counts as empty.  A text without any spot has the hash
 of all its words as its only signature; an empty text has none.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabstack.operators import encode as EN
 from tabstack.plans import fixtures as FX
 
-from conftest import SF001
+from testdata_paths import SF001
 
 
 def _brute(pdf, key, m, fold="fold"):
@@ -104,7 +104,7 @@ def test_loo_and_scalers(spark):
 def test_exact_quantile_select_matches_numpy(spark):
     from tabstack.operators.aggregates import exact_quantiles
     from tabstack.sources.tables import read_table
-    from conftest import SF01
+    from testdata_paths import SF01
     li = read_table(spark, SF01, "lineitem")
     vals = np.array([r[0] for r in li.select("l_extendedprice").collect()])
     for q in (0.5, 0.995, 0.0, 1.0, 0.37):
@@ -127,7 +127,7 @@ def test_oof_prior_removes_own_label_entirely(spark):
 def test_quantiles_of_several_columns(spark):
     from tabstack.operators import aggregates as A
     from tabstack.sources.tables import read_table
-    from conftest import SF01
+    from testdata_paths import SF01
     li = read_table(spark, SF01, "lineitem")
     got = A.quantiles(li, ["l_extendedprice", "l_discount"], 0.995)
     pdf = li.select("l_extendedprice", "l_discount").toPandas()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabstack.operators.folds import assign_folds_hash, assign_folds_stratified
 from tabstack.plans import fixtures as FX
 
-from conftest import SF01
+from testdata_paths import SF01
 
 
 def test_stratified_balance_and_ranking(spark):

@@ -14,7 +14,7 @@ from tabstack.operators.neighbours import knn_candidates
 from tabstack.operators.sampling import stratified_sample
 from tabstack.plans import fixtures as FX
 
-from conftest import SF001, SF01
+from testdata_paths import SF001, SF01
 
 
 def test_knn_blocked_equals_bruteforce(spark):

@@ -7,7 +7,7 @@ from tabstack.operators.linear import linear_prediction, ols_oof_coefficients
 from tabstack.plans import fixtures as FX
 from tabstack.plans.flagship import acct_features
 
-from conftest import SF001
+from testdata_paths import SF001
 
 
 def test_oof_linear_equals_closed_form(spark):
@@ -44,7 +44,7 @@ def test_own_label_never_reaches_a_prediction(spark):
 
     from tabstack.operators import models as ML
     from tabstack.plans.q_folds_models import FEATS, _model_frame
-    from conftest import SF001
+    from testdata_paths import SF001
     d = _model_frame(spark, SF001).cache()
     rid = d.where(F.col("fold") == 2).orderBy("row_id").first()["row_id"]
     own = F.col("row_id") == rid

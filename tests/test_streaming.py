@@ -7,7 +7,7 @@ from tabstack.session import scratch_path
 from tabstack.sources.tables import read_table
 from tabstack.streaming.score import read_table_stream, score_stream
 
-from conftest import SF001
+from testdata_paths import SF001
 
 
 def test_stream_scoring_matches_batch(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstack.llm import ann, bpe, jaccard_join, langid, licenses, lm, packing, spotsigs, toxicity, warc
+from tabstack.llm import ann, bpe, chat, jaccard_join, langid, licenses, lm, packing, spotsigs, toxicity, warc
 from tabstack.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,29 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.digests(chat.format_chats(rows.unionByName(own)))
+
+
+ORACLES["op13_chat_formatting"] = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*(/?(SYS|INST|OUT|ROLE)|TEXT)\]')) AS escaped,
+    CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 11
+      ELSE 19 + length(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*(/?(SYS|INST|OUT|ROLE)|TEXT)\]')) END AS marks
+  FROM r)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(7 + sum(escaped + marks) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstack.llm import ann, bpe, chat, jaccard_join, langid, licenses, lm, packing, spotsigs, toxicity, warc
+from tabstack.llm import ann, bpe, chat, jaccard_join, langid, licenses, lm, packing, resample, spotsigs, toxicity, warc
 from tabstack.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,39 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(7 + sum(escaped + marks) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_importance_resampling"] = r"""
+WITH RECURSIVE step(k, i, c) AS (
+  SELECT 0, i::BIGINT, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT k + 1, i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM step WHERE k = 8),
+w AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 1, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS (
+  SELECT kind, id, unnest(w) AS feature FROM w
+  UNION ALL SELECT kind, id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w),
+hashed AS (
+  SELECT feature, xor(4294967295, list_reduce(list_transform(range(0, length(h) // 2), lambda i: (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature, hex(encode(feature)) AS h FROM f), tab),
+n AS (SELECT kind, id, bucket, count(*) AS n FROM f JOIN hashed USING (feature) GROUP BY ALL),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t FROM range(10000) r(bucket) LEFT JOIN n USING (bucket) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM b),
+m AS (SELECT id, sum(n) AS nf, sum(n * gain) AS total FROM n JOIN g USING (bucket) WHERE kind = 0 GROUP BY id),
+sc AS (
+  SELECT doc_id, CAST(coalesce(nf, 0) AS BIGINT) AS n_features,
+    CAST(CASE WHEN nf IS NULL THEN 0 ELSE total // nf - CASE WHEN total % nf < 0 THEN 1 ELSE 0 END END AS BIGINT) AS weight,
+    CAST('0x' || left(sha256('7:' || doc_id), 8) AS BIGINT) AS h
+  FROM documents LEFT JOIN m ON id = doc_id),
+ranked AS (
+  SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM sc),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS total FROM ranked WHERE n_features >= 39)
+SELECT k.*, CASE WHEN place <= 25 * total // 100 THEN place END AS rank FROM ranked k LEFT JOIN r USING (doc_id)
+"""

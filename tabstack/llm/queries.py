@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstack.llm import ann, bpe, chat, jaccard_join, langid, licenses, lm, packing, resample, spotsigs, toxicity, warc
+from tabstack.llm import ann, bpe, chat, divergence, jaccard_join, langid, licenses, lm, packing, resample, spotsigs, toxicity, warc
 from tabstack.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,38 @@ ranked AS (
 r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS total FROM ranked WHERE n_features >= 39)
 SELECT k.*, CASE WHEN place <= 25 * total // 100 THEN place END AS rank FROM ranked k LEFT JOIN r USING (doc_id)
 """
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+n AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM (SELECT id, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS everywhere FROM n GROUP BY ALL HAVING sum(docs) >= 30),
+totals AS (SELECT lang, count(*) AS v, sum(everywhere) AS total FROM kept GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total, coalesce(own, 0) AS own
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN totals USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS own FROM n JOIN kept USING (lang, term) GROUP BY ALL) USING (lang, source)),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (own + 5 * v) AS p, 1 + (1000000000::HUGEINT * (everywhere + 5)) // (total + 5 * v) AS q
+  FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+pair AS (
+  SELECT x.lang, x.source, y.source AS item, coalesce(f, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN (SELECT a.lang, a.source AS a, b.source AS b, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) s
+      ON s.lang = x.lang AND s.a = x.source AND s.b = y.source),
+every AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS rank FROM p WHERE n > 0 AND p > q
+  QUALIFY rank <= 50)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM every
+"""

@@ -8,7 +8,8 @@ it; a text's weight is the mean gain of its features; weight plus Gumbel noise
 Features are found a batch at a time: the batch's texts are joined with a
 sentinel that no word can hold, one regex pass finds all words, the documents'
 offsets (searchsorted) tell whose each word is and mask pairs that cross from
-one document into the next, and bincount adds up buckets and weights.
+one document into the next, and bincount adds up buckets and weights.  A pair's
+crc32 follows from those of its words, for all pairs of the batch at once.
 
 Over a corpus: each task adds up its own bucket counts (at most ``buckets``
 rows a task go into the sum), and a second pass over the texts, which now know
@@ -34,7 +35,6 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
-from operator import methodcaller
 from zlib import crc32
 
 import numpy as np
@@ -49,7 +49,9 @@ MIN_WORDS = 20
 PERCENT = 25
 SEED = "7"
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+WORD_BYTE = np.array([bool(WORD.match(bytes([k]))) for k in range(256)])
 SENTINEL = b"\x00"            # no word holds it
+SHORT = 64                    # bytes of a word up to which tables continue a crc32
 JOINED_BYTES = 1 << 20        # texts are joined up to about this size
 
 
@@ -65,18 +67,42 @@ def joined(texts: list[bytes | None], size: int = JOINED_BYTES) -> Iterator[tupl
             first, total = k + 1, 0
 
 
+def _shift_tables() -> np.ndarray:
+    """[length, byte, value]: the crc32 of ``value`` in that byte after ``length`` zero bytes; crc32 is linear, so a whole crc is the xor of its bytes."""
+    byte = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        byte = np.where(byte & 1, (byte >> 1) ^ np.uint32(0xEDB88320), byte >> 1)
+    out = [np.arange(256, dtype=np.uint32)[None] << np.uint32(8) * np.arange(4, dtype=np.uint32)[:, None]]
+    for _ in range(SHORT):
+        out.append((out[-1] >> np.uint32(8)) ^ byte[out[-1] & np.uint32(255)])
+    return np.array(out)
+
+
+SHIFT = _shift_tables()
+
+
+def continued(before: np.ndarray, length: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """crc32 of two texts in a row, from the crc32 of each and the length (at most SHORT) of the second."""
+    for k in range(4):
+        after = after ^ SHIFT[length, k, (before >> np.uint32(8 * k)) & np.uint32(255)]
+    return after
+
+
 def features(text: bytes, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and document (place in ``offsets``) of every feature of the joined texts."""
-    found = list(WORD.finditer(text))
-    words = list(map(methodcaller("group"), found))
-    start = np.fromiter(map(methodcaller("start"), found), np.int64, len(found))
-    doc = np.searchsorted(offsets, start, side="right") - 1
-    known = {w: crc32(w) for w in set(words)}
-    one = list(map(known.__getitem__, words))
-    spaced = {w: crc32(b" ", h) for w, h in known.items()}
-    two = np.fromiter(map(crc32, words[1:], map(spaced.__getitem__, words)), np.uint32, max(0, len(words) - 1))
+    words = WORD.findall(text)
+    inside = np.concatenate([[False], WORD_BYTE[np.frombuffer(text, np.uint8)], [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, length = edge[::2], edge[1::2] - edge[::2]
+    first = np.searchsorted(start, offsets)                     # the first word of each document
+    doc = np.repeat(np.arange(len(offsets)), np.diff(first, append=len(words)))
+    one = np.fromiter(map(crc32, words), np.uint32, len(words))
+    spaced = continued(one, np.ones(len(one), np.int64), np.uint32(crc32(b" ")))
+    two = continued(spaced[:-1], np.minimum(length[1:], SHORT), one[1:])
+    for k in np.flatnonzero(length[1:] > SHORT).tolist():
+        two[k] = crc32(words[k + 1], int(spaced[k]))
     same = doc[1:] == doc[:-1]
-    h = np.concatenate([np.array(one, np.uint32), two[same]])
+    h = np.concatenate([one, two[same]])
     return (h % np.uint32(buckets)).astype(np.int64), np.concatenate([doc, doc[1:][same]])
 
 
@@ -116,9 +142,8 @@ def scores(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col:
             for first, last, text, offsets in joined(b.column(1).to_pylist()):
                 bucket, doc = features(text, offsets, buckets)
                 size[first:last] = np.bincount(doc, minlength=last - first)
-                gained = np.zeros(last - first, np.int64)
-                np.add.at(gained, doc, gain[bucket])         # whole numbers: bincount's weights are doubles
-                total[first:last] = gained
+                # whole numbers far below 2^53, so the doubles are exact
+                total[first:last] = np.bincount(doc, gain[bucket], minlength=last - first).astype(np.int64)
             weight = total // np.maximum(size, 1)
             drawn = np.fromiter((noise(x, seed) for x in b.column(0).to_pylist()), np.int64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(weight), pa.array(weight + drawn)],

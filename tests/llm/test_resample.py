@@ -51,7 +51,7 @@ def check(spark, docs, rows, target, n=97, least=3, percent=40):
 
 def test_equals_brute_force(spark, docs_of):
     rng = random.Random(3)
-    bits = ["the", "The", "cat", "Öl", "öl", "x1", "42", "naïve", "中文", "😀", "K", "--", ".", "\x00", "\n", "a\x7fb", " ", "İx"]
+    bits = ["the", "The", "cat", "Öl", "öl", "x1", "42", "naïve", "中文", "😀", "K", "--", ".", "\x00", "\n", "a\x7fb", " ", "İx", "q" * 63, "q" * 64, "q" * 65, "é" * 100]
     rows = [(k, rng.choice(["", " "]).join(rng.choices(bits, k=rng.randint(0, 60)))) for k in range(300)]
     check(spark, docs_of(rows), rows, ["the cat", "42 x1 öl", ""])
 

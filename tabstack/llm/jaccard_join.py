@@ -5,17 +5,17 @@ Documents are sets of word shingles; two link when 100 |x & y| >= T |x | y|.
 1. Equal sets form one class; from here on a class is one set.
 2. Sets are handled by size band, and around each band edge by another
    instance, so that every pair that can link meets in one instance.  There
-   the hash universe is cut into m segments.  A linked pair differs in at most
-   H shingles, so with m = H + 1 some segment is equal on both sides.  A
-   segment that is indexed with its one-deletion neighbourhood finds pairs
-   that differ once in it and counts for two, so d such segments save d
-   segments and make all others larger.  d is chosen for each instance by its
-   cost: index entries, and chance meetings of the sets that it holds.
-   The costly entries are those of empty subsets, which any two sets may
-   share.  With d = 0 they name the next segment's one-deletion neighbourhood
-   instead: if each equal segment were followed by one that differs twice or
-   more, the differences would add up to m, which is more than H.  So some
-   equal segment is followed by one that differs once at most; it is found.
+   the hash universe is cut into units.  A linked pair differs in at most H
+   shingles, so with H + 1 units some unit holds equal subsets on both sides.
+   Two units may join to a double segment, which is indexed with its
+   one-deletion neighbourhood, finds pairs that differ once in it, and counts
+   for two: more entries, but far fewer sets that meet by chance.  How many
+   join is chosen for each instance by cost: index entries against chance
+   meetings of the sets that it holds.
+   There are more units than H + 1, and most sets have fewer than H differences
+   to bear, so each can leave out some segments without a loss: the smallest,
+   which are those that sets share by chance or with one common passage (see
+   ``Plan``).
 3. Sets that share an index entry are candidates.  In each entry's bucket the
    few sets with the most company are its hubs; each set is compared first with
    the hubs that it shares most entries with, and links join components.  Then only pairs of different components remain and
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ from tabstack.llm.common import map_batches, materialise, range_of
 BAND_RATIO = 1.5
 HUBS = 3                 # sets of a bucket that are compared with all its others first
 BUCKET_BLOCK = 2_048     # members of a bucket that meet in one task when all pairs are due
-SKETCH_WORDS = 4         # 64-bit words of the parity sketch
-COUNT_CELLS = 256        # bytes of the count sketch
+SKETCH_WORDS = 8         # 64-bit words of the parity sketch
+COUNT_CELLS = 512        # bytes of the count sketch
+SURPLUS = 0.15           # units of the universe beyond those that the pigeonhole needs, for each of them
+OVERLAP, RELATED = 0.3, 0.01     # cost model: sets with a common passage share so much, and so many of all pairs are such
 BEST_HUBS = 2            # hubs a set is compared with first: those it shares most entries with
 
 
@@ -94,49 +97,99 @@ def band_edges(limit: int, ratio: float = BAND_RATIO) -> list[int]:
 
 
 class Plan:
-    """Segments of one instance: ``m`` in all, the first ``d`` with one-deletion neighbourhoods."""
-
-    def __init__(self, low: int, high: int, bound: int, sets: int, d: int | None = None):
-        self.low, self.high, self.bound = low, high, bound
-        size = (low + high) / 2
-        tried = range(0, bound // 2 + 1, max(1, bound // 64))
-        self.d = min(tried, key=lambda d: (self.cost(d, size, sets), d)) if d is None else d
-        self.m = bound + 1 - self.d
-
-    def cost(self, d: int, size: float, sets: int) -> float:
-        """Index entries plus expected chance meetings: both subsets empty (and, for d = 0, the
-        next ones within a deletion), or within a deletion of empty."""
-        m = self.bound + 1 - d
-        mean = size / m
-        close = (math.exp(-mean) * (1 + mean)) ** 2
-        entries = sets * ((m - d) + d * (1 + mean) + (0 if d else m * math.exp(-mean) * mean))
-        meet = (m - d) * math.exp(-2 * mean) * (1 if d else close) + d * close
-        return entries + sets * sets / 2 * meet
+    """Segments of one instance.
+
+    The hash universe is cut into ``units`` equal units, ``bound`` + 1 and a
+    surplus; the first 2 ``d`` units form ``d`` double segments, each other
+    unit is a segment.  A segment that is equal on both sides, or a double one
+    that differs once at most, weighs as many units as it has; a pair that
+    differs h times has matches of weight ``units`` - h or more.
+
+    A set of n shingles differs from no partner in this instance more than
+    h(n) times, so matches of weight ``units`` - h(n) - 1 can go without a loss:
+    it leaves out its smallest segments, which are those that others share by
+    chance.  Segments rank by their size and a hash of what they hold, the same
+    on both sides; a double segment's size may differ by one there, so it
+    counts against the weight as soon as its size reaches the limit and is left
+    out one later.  (If all matches of a pair were left out by one side or the
+    other, those of the higher limit alone would exceed its weight.)
+    """
+
+    def __init__(self, low: int, high: int, bound: int, sets: int, percent: int, d: int | None = None):
+        self.low, self.high, self.bound, self.percent = low, high, bound, percent
+        self.units = bound + 1 + math.ceil(bound * SURPLUS)
+        tried = range(0, self.units // 2 + 1, max(1, self.units // 32))
+        self.d = min(tried, key=lambda d: (self.cost(d, sets), d)) if d is None else d
+        self.m = self.units - self.d
+
+    def spare(self, n: int) -> int:
+        """Weight of matches that a set of ``n`` shingles can do without."""
+        partner = min(self.high, n * 100 // self.percent)
+        return self.units - 1 - min(self.bound, max_difference(n + partner, self.percent))
+
+    def cost(self, d: int, sets: int) -> float:
+        """Index entries, and chance meetings of unrelated sets and of those that share a passage, over sizes of the band.
+
+        An estimate (segments hold Poisson numbers of shingles); it decides what is fast, not what is found."""
+        entries = meets = 0.0
+        sizes = [self.low + (self.high - self.low) * k / 4 for k in range(5)]
+        for n in sizes:
+            mean, singles, spare = n / self.units, self.units - 2 * d, self.spare(int(n))
+            entries += max(0, singles - spare) + d * (1 + 2 * mean)
+            for share, weight in ((0.0, 1.0), (OVERLAP, RELATED)):
+                kinds = [(singles, 1, mean, lambda own: 1.0), (d, 2, 2 * mean, lambda own: 1 + own)]     # number, weight, mean size, ways to match
+                left, met = float(spare), 0.0
+                for j in range(int(2 * mean) + 8):      # segments of j shingles, the smallest left out first
+                    there = sum(number * w * _poisson(j, mu) for number, w, mu, _ in kinds)
+                    kept = max(0.0, 1 - left / there) if there > 1e-9 else 0.0
+                    left = max(0.0, left - there)
+                    for number, _, mu, ways in kinds:
+                        own = 2 * (1 - share) * mu
+                        met += number * kept * kept * _poisson(j, share * mu) * math.exp(-own) * ways(own)
+                meets += weight * met
+        return (entries * sets + meets * sets * sets / 2) / len(sizes)
 
     def entries(self, s: np.ndarray, instance: int) -> np.ndarray:
         """Index entries of the set ``s`` (64-bit)."""
-        segment = ((s >> np.uint64(32)) * np.uint64(self.m) >> np.uint64(32)).astype(np.int64)   # s is sorted, so is this
+        unit = ((s >> np.uint64(32)) * np.uint64(self.units) >> np.uint64(32)).astype(np.int64)   # s is sorted, so is this
+        d = self.d
+        segment = np.where(unit < 2 * d, unit >> 1, unit - d) if d else unit
         mixed = (s ^ (s >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(32)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed)])
         at = np.searchsorted(segment, np.arange(self.m + 1))
-        sums = total[at[1:]] - total[at[:-1]]
+        size, sums = np.diff(at), total[at[1:]] - total[at[:-1]]
         place = np.arange(self.m, dtype=np.uint64) + np.uint64(instance << 32) + np.uint64(1)
-        if self.d:
-            inner = slice(0, at[self.d])
-            sums = np.concatenate([sums, sums[segment[inner]] - mixed[inner]])
-            place = np.concatenate([place, place[segment[inner]]])
-        else:
-            empty = np.flatnonzero(at[1:] == at[:-1])
-            if len(empty):      # their entries name the next subset's one-deletion neighbourhood instead
-                after = (empty + 1) % self.m
-                mark = place[empty] + np.uint64(1 << 62)
-                near = [sums[n: n + 1] - np.concatenate([np.zeros(1, np.uint64), mixed[at[n]: at[n + 1]]]) for n in after.tolist()]
-                full = at[1:] > at[:-1]
-                place = np.concatenate([place[full], np.repeat(mark, [len(x) for x in near])])
-                sums = np.concatenate([sums[full], *near])
-        key = (sums + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0x94D049BB133111EB)
-        return np.unique(key ^ (key >> np.uint64(31)))
+        key = _entry(sums, place)
+        rank = size.astype(np.float64)
+        rank[d:] += (key[d:] >> np.uint64(40)).astype(np.float64) / (1 << 24)
+        limit = self._limit(rank, len(s))
+        kept = rank > limit
+        kept[:d] = rank[:d] + 1 > limit
+        found = [key[kept]]
+        if d:
+            inner = np.flatnonzero(kept[segment[:at[d]]])
+            found.append(_entry(sums[segment[inner]] - mixed[inner], place[segment[inner]]))
+        return np.unique(np.concatenate(found))
+
+    def _limit(self, rank: np.ndarray, n: int) -> float:
+        """The highest rank up to which all segments together weigh no more than can be spared."""
+        order = np.argsort(rank, kind="stable")
+        weight = np.cumsum(np.where(order < self.d, 2, 1))
+        k = int(np.searchsorted(weight, self.spare(n), side="right"))
+        ranks = rank[order]
+        while 0 < k < len(ranks) and ranks[k] == ranks[k - 1]:
+            k -= 1
+        return float(ranks[k - 1]) if k else -1.0
+
+
+def _poisson(j: int, mean: float) -> float:
+    return mean ** j * math.exp(-mean) / math.factorial(j)
+
+
+def _entry(sums: np.ndarray, place: np.ndarray) -> np.ndarray:
+    key = (sums + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0x94D049BB133111EB)
+    return key ^ (key >> np.uint64(31))
 
 
 def instances_of(size: int, edges: list[int], percent: int) -> list[int]:
@@ -155,10 +208,10 @@ def make_plans(counts: dict[int, int], edges: list[int], percent: int) -> dict[i
     plans = {}
     for k, edge in enumerate(edges):
         low, high = (edges[k - 1] if k else 1), edge - 1
-        plans[2 * k] = Plan(low, high, max_difference(2 * high, percent), counts.get(k, 0))
+        plans[2 * k] = Plan(low, high, max_difference(2 * high, percent), counts.get(k, 0), percent)
         above = high * 100 // percent
         plans[2 * k + 1] = Plan(-(-edge * percent // 100), above, max_difference(high + above, percent),
-                                (counts.get(k, 0) + counts.get(k + 1, 0)) // 2)
+                                (counts.get(k, 0) + counts.get(k + 1, 0)) // 2, percent)
     return plans
 
 
@@ -375,12 +428,13 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     smallest.
     """
     rows, named = _members(docs.select("doc_id", "text"), words, percent)
-    gone = rows.join(named, "key").filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_id")).distinct()
-    again = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 or _id is null").select("_id")
+    id_ = next(x for x in (f"_id{k}" for k in count()) if x not in {c.lower() for c in docs.columns})
+    gone = rows.join(named, "key").filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(id_)).distinct()
+    again = rows.groupBy(F.col("doc_id").alias(id_)).agg(F.count(F.lit(1)).alias("n")).filter(F.col(id_).isNull() | (F.col("n") > 1)).select(id_)
     if again.isEmpty():
-        return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    single = docs.join(again, same, "left_anti").join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+        return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col(id_))
+    single = docs.join(again, same, "left_anti").join(gone, F.col("doc_id") == F.col(id_), "left_anti")
     # rows without an id of their own are told apart by their sets, which are made again
     found = _profile(docs.join(again, same, "left_semi").select(F.struct("*").alias("doc_id"), "text"), words).select(F.col("doc_id").alias("row"), "n", "key")
     empty = found.filter("n = 0").select("row.*")

@@ -77,11 +77,11 @@ def test_components_equal_brute_force(spark, docs_of, words, percent, seed):
 
 def test_every_linked_pair_shares_an_entry():
     rng = np.random.default_rng(4)
-    for percent in (60, 80, 85, 95):
+    for percent, doubles in [(p, d) for p in (60, 80, 85, 95) for d in (None, 0.0, 0.3, 1.0)]:
         edges = J.band_edges(3000)
         plans = J.make_plans({k: 10_000_000 for k in range(len(edges) + 1)}, edges, percent)
-        if percent == 80:   # the other kind of plan, too
-            plans = {k: J.Plan(p.low, p.high, p.bound, 1, p.bound // 2) for k, p in plans.items()}
+        if doubles is not None:   # the other kinds of plan, too
+            plans = {k: J.Plan(p.low, p.high, p.bound, 1, percent, int(doubles * (p.units // 2))) for k, p in plans.items()}
         for _ in range(150):
             n = int(np.exp(rng.uniform(0, np.log(2500))))
             x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
@@ -95,6 +95,19 @@ def test_every_linked_pair_shares_an_entry():
             assert any(set(plans[i].entries(x, i).tolist()) & set(plans[i].entries(y, i).tolist()) for i in shared if plans[i].bound)
 
 
+def test_cost_joins_units_as_sets_grow_in_number():
+    few, many = (J.Plan(200, 299, 66, n, 80) for n in (1_000, 10**9))
+    assert few.d == 0 and many.d > 0
+
+
+def test_keep_first_with_clashing_columns(spark, docs_of):
+    docs = docs_of([(1, "a b c d e f"), (2, "a b c d e f"), (2, "g h i j k l"), (3, None)])
+    for c in ("_id", "_n", "_id0", "_ID1", "n", "key", "component", "row", "best"):
+        docs = docs.withColumn(c, F.lit(c))
+    got = J.keep_first(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
 def test_join_edge_rows(spark, docs_of):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one TWO"), (6, "one two three"), (7, "x " * 5000), (8, "x " * 4000), (9, "Ä b c d"), (9, "Ä b c d"), (10, "ä b c d"), (11, "Ä b c d")]
     got = J.jaccard_components(docs_of(rows).withColumn("n", F.lit("clash")).withColumn("key", F.lit(1)), 4, 85).collect()

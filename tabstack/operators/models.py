@@ -54,18 +54,6 @@ def rf_cls(seed: int = 42, trees: int = 50, depth: int = 6, **kw) -> Estimator:
     return RandomForestClassifier(featuresCol=FEATURES_COL, numTrees=trees, maxDepth=depth, seed=seed, **kw)
 
 
-def extra_trees_reg(seed: int = 42, trees: int = 50, depth: int = 8) -> Estimator:
-    """No extremely-randomised trees in ml: no bootstrap, few features per
-    split and coarse bins approximate the extra randomisation."""
-    return RandomForestRegressor(featuresCol=FEATURES_COL, numTrees=trees, maxDepth=depth, seed=seed,
-                                 bootstrap=False, featureSubsetStrategy="onethird", maxBins=16)
-
-
-def extra_trees_cls(seed: int = 42, trees: int = 50, depth: int = 8) -> Estimator:
-    return RandomForestClassifier(featuresCol=FEATURES_COL, numTrees=trees, maxDepth=depth, seed=seed,
-                                  bootstrap=False, featureSubsetStrategy="sqrt", maxBins=16)
-
-
 def mlp_cls(n_features: int, n_classes: int = 5, hidden=(64, 32), seed: int = 42, max_iter: int = 100) -> Estimator:
     return MultilayerPerceptronClassifier(featuresCol=FEATURES_COL, layers=[n_features, *hidden, n_classes],
                                           seed=seed, maxIter=max_iter)

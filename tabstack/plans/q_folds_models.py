@@ -12,6 +12,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tabstack.functions import expr as E
+from tabstack.operators import grower as G
 from tabstack.operators import metrics as MT
 from tabstack.operators import models as ML
 from tabstack.operators.folds import assign_folds_hash, assign_folds_mixed, cv_summary
@@ -171,8 +172,11 @@ def q_rf_reg(spark, sf):
 
 @learner("fit_extra_trees", "cls", "tier")
 def q_extra_trees(spark, sf):
-    return ML.oof_predict(_model_frame(spark, sf), lambda f: ML.extra_trees_cls(42 + f, 30), FEATS, "tier",
-                          "fold", "cls")
+    """Extremely randomised trees: a random cut per node and tried feature."""
+    d = _model_frame(spark, sf)
+    models = G.extra_trees(d.where(F.col("fold").isNotNull()), FEATS, "tier", trees=15, depth=6, classes=5, fold="fold", folds=range(5))
+    shares = G.out_of_fold(d, models, "row_id", "fold", "p")
+    return shares.select("row_id", "fold", *[F.col("p")[k].alias(f"p{k}") for k in range(5)])
 
 
 @learner("fit_mlp_cls", "cls", "tier")
@@ -227,6 +231,50 @@ def q_seed_avg(spark, sf):
     return ML.seed_average(parts)
 
 
+# fixed values: the sign each feature's effect on the rate must have
+SIGNS = {"balance": -1, "delinquency": 1, "mortgage_ltv": 1}
+
+
+def _never_against_signs(d):
+    """The prediction, where raising each constrained feature moved it the right way (else null)."""
+    ok = F.lit(True)
+    for c, sign in SIGNS.items():
+        ok = ok & (sign * (F.col(f"up_{c}") - F.col("pred")) >= -1e-9)
+    return F.when(ok, F.col("pred"))
+
+
+@learner("fit_monotone", formula=_never_against_signs)
+def q_monotone(spark, sf):
+    """Boosted trees under sign constraints, out of fold.  Each row is scored
+    again with every constrained feature raised; ``consistent`` says that no
+    prediction moved against its sign."""
+    d = _model_frame(spark, sf)
+    splitter = G.BestCut(signs=tuple(SIGNS.get(c, 0) for c in FEATS))
+    models = {k: m for (k, _), m in G.boost(d.where(F.col("fold").isNotNull()), FEATS, "rate", [G.Squared()], rounds=12, depth=3,
+                                            rate=0.3, splitter=splitter, fold="fold", folds=range(5)).items()}
+    out = G.out_of_fold(d, models, "row_id", "fold")
+    step = d.agg(*[(F.stddev_pop(c) / 2).alias(c) for c in SIGNS]).first()
+    for c in SIGNS:
+        raised = d.withColumn(c, F.col(c) + F.lit(float(step[c] or 0.0)))
+        out = out.join(G.out_of_fold(raised, models, "row_id", "fold", f"up_{c}").drop("fold"), "row_id")
+    return out
+
+
+@learner("fit_quantile", formula=lambda d: F.when((F.col("q10") <= F.col("pred")) & (F.col("pred") <= F.col("q90")), F.col("pred")))
+def q_quantile(spark, sf):
+    """Boosted trees on the pinball loss for q10, q50 (``pred``) and q90, out
+    of fold; a row's three values are put in order."""
+    d = _model_frame(spark, sf)
+    grown = G.boost(d.where(F.col("fold").isNotNull()), FEATS, "rate", [G.Pinball(q, 2.0) for q in (0.1, 0.5, 0.9)], rounds=12, depth=3,
+                    rate=0.4, splitter=G.BestCut(min_hessian=2.0, reg=0.1), fold="fold", folds=range(5))
+    out = d.select("row_id", "fold")
+    for j in range(3):
+        own = G.out_of_fold(d, {k: grown[k, j] for k in range(5)}, "row_id", "fold", f"v{j}")
+        out = out.join(own.drop("fold"), "row_id")
+    v = F.array_sort(F.array("v0", "v1", "v2"))
+    return out.select("row_id", "fold", v[0].alias("q10"), v[1].alias("pred"), v[2].alias("q90"))
+
+
 def _mono_sql(bins=10):
     return f"""SELECT CAST(b AS INTEGER) AS bin, count(*) AS n, {sq6('avg(rate)')} AS mean_rate,
   CAST(coalesce(avg(rate) <= lag(avg(rate)) OVER (ORDER BY b), true) AS INTEGER) AS step_ok
@@ -235,8 +283,8 @@ FROM (SELECT rate, least(floor((balance - lo) / w), {bins - 1}) AS b FROM acct,
 GROUP BY b"""
 
 
-@query("fit_monotone", W("acct", _mono_sql()))
-def q_monotone(spark, sf):
+@query("monotone_bins", W("acct", _mono_sql()))
+def q_monotone_bins(spark, sf):
     """Monotonicity check of the target along a feature (rate must not rise
     with balance): mean per equal-width bin and a per-step flag."""
     from pyspark.sql import Window
@@ -258,10 +306,10 @@ FROM (SELECT rate, least(floor((m0_rate - lo) / w), {bins - 1}) AS b FROM acct_p
 GROUP BY b"""
 
 
-@query("fit_quantile", W("acct_pred", _quantile_sql()))
+@query("quantile_bins", W("acct_pred", _quantile_sql()))
 def q_quantile_bins(spark, sf):
-    """Quantile regression re-aimed: q10/q50/q90 of the target inside bins of
-    a model score (spread = uncertainty)."""
+    """q10/q50/q90 of the target inside bins of a model score (spread =
+    uncertainty)."""
     p = FX.acct_pred(spark, sf)
     r = p.agg(F.min("m0_rate").alias("lo"), F.max("m0_rate").alias("hi")).collect()[0]
     width = (r["hi"] - r["lo"]) / 10

@@ -417,8 +417,8 @@ def q_ablation(spark, sf):
 @query("flow_end_to_end")
 def q_flow(spark, sf):
     """The whole run: features, imputation, folds, target statistics, OOF
-    learners for both tasks, convex blend, pseudo-labels, validated
-    prediction table (test rows)."""
+    learners for both tasks, convex blend, retraining on
+    pseudo-labels, validated prediction table (test rows)."""
     from tabstack.plans.flow import run
     sub, _ = run(spark, sf)
     return sub
@@ -426,8 +426,8 @@ def q_flow(spark, sf):
 
 @query("flow_cv_score")
 def q_flow_cv(spark, sf):
-    """CV summary of the whole run: accuracy, R^2, RMSE, combined score and
-    the blend weights."""
+    """CV summary of the whole run, a row per generation: rows learned from,
+    accuracy, R^2, RMSE and combined score on real rows, blend weights."""
     from tabstack.plans.flow import run
     _, cv = run(spark, sf)
     return cv

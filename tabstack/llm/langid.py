@@ -43,7 +43,7 @@ SPREADS = 4.0      # the same in distances from the median to the lowest twentie
 def symbol_table() -> np.ndarray:
     """Code point -> symbol: 0 no letter, 1..26 a..z, 27..63 other letters by remainder."""
     out = np.zeros(0x110000, dtype=np.uint32)
-    for c in range(0x30000):
+    for c in range(0x110000):
         ch = chr(c)
         if ch.isalpha():
             out[c] = c - 96 if "a" <= ch <= "z" else 27 + c % 37

@@ -44,6 +44,11 @@ def test_language_edge_rows(spark, docs_of):
     assert langid.predict(docs.limit(0), langs, model).count() == 0
 
 
+def test_letters_of_every_plane_are_letters():
+    text = "".join(chr(c) for c in range(0x31350, 0x31390))
+    assert len(langid.trigrams(text)[0]) and not len(langid.trigrams("\U0001F600 12 \U000E0020")[0])
+
+
 def test_training_rows_alone_teach(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     train = id_remainder("doc_id", 4) != 2

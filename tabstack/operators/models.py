@@ -28,6 +28,7 @@ from tabstack.functions.expr import exp_shift, log_shift, round_to_class
 from tabstack.session import cut_lineage
 
 FEATURES_COL = "features"
+VALID_COL = "_valid"        # rows that tell a boosted learner when to stop
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES_COL) -> DataFrame:
@@ -98,14 +99,21 @@ def _score(d: DataFrame, models: dict, fold: str, kind: str, n_classes: int = 1)
 
 def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], features: Sequence[str],
                 label: str, fold: str = "fold", kind: str = "reg", n_classes: int = 5,
-                key: str = "row_id", checkpoint: bool = True, fitted: dict | None = None) -> DataFrame:
+                key: str = "row_id", checkpoint: bool = True, fitted: dict | None = None,
+                valid_share: float = 0.0) -> DataFrame:
     """(key, fold, pred | p0..p{C-1}) for every row: train rows out of fold,
     rows with a NULL fold averaged over the K fold models.  ``fitted`` receives
-    the fold models."""
+    the fold models.
+
+    With ``valid_share`` a boosted learner stops early: that share of its own
+    training rows (by a hash of the key, so never rows of the fold it will
+    score) tells when another tree no longer helps."""
     d = assemble(df.select(key, fold, label, *features), features)
+    if valid_share:
+        d = d.withColumn(VALID_COL, F.pmod(F.xxhash64(F.lit("valid"), F.col(key)), F.lit(10_000)) < int(valid_share * 10_000))
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).where(F.col(fold).isNotNull()).distinct().collect())
-    models = fit_folds(d, make_estimator, label, fold, folds)
+    models = fit_folds(d, make_estimator, label, fold, folds, valid=VALID_COL if valid_share else None)
     if fitted is not None:
         fitted.update(models)
     vals = ["pred"] if kind == "reg" else [f"p{k}" for k in range(n_classes)]
@@ -126,14 +134,16 @@ def parallel(fn: Callable, items, workers: int | None = None) -> list:
 
 
 def fit_folds(d: DataFrame, make_estimator: Callable[[int], Estimator], label: str, fold: str,
-              folds: Sequence[int], parallelism: int | None = None) -> dict:
+              folds: Sequence[int], parallelism: int | None = None, valid: str | None = None) -> dict:
     """Fit the K fold models (each on the other folds) as concurrent Spark
     jobs -- they share the persisted input and are independent, like
     ``CrossValidator(parallelism=...)``."""
     from concurrent.futures import ThreadPoolExecutor
 
     def fit(f):
-        return f, make_estimator(f).setLabelCol(label).fit(d.where(F.col(fold).isNotNull() & (F.col(fold) != f)))
+        est = make_estimator(f).setLabelCol(label)
+        est = est.setValidationIndicatorCol(valid) if valid else est
+        return f, est.fit(d.where(F.col(fold).isNotNull() & (F.col(fold) != f)))
 
     with ThreadPoolExecutor(max_workers=parallelism or len(folds)) as ex:
         return dict(ex.map(fit, folds))

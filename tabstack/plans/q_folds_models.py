@@ -148,6 +148,20 @@ def q_gbt_reg(spark, sf):
     return ML.oof_predict(_model_frame(spark, sf), lambda f: ML.gbt_reg(42 + f, 20), FEATS, "rate", "fold", "reg")
 
 
+@query("fit_gbt_early_stop")
+def q_gbt_early_stop(spark, sf):
+    """Boosting that stops on an inner validation share of the training folds:
+    trees that each fold model kept, of 60 at most, on the rate with noise."""
+    noise = (F.pmod(F.xxhash64("row_id"), F.lit(1000)) / 1000.0 - 0.5) * 40
+    d = _model_frame(spark, sf).withColumn("noisy", F.col("rate") + noise)
+    fitted = {}
+    oof = ML.oof_predict(d, lambda f: ML.gbt_reg(42 + f, 60), FEATS, "noisy", "fold", "reg", fitted=fitted, valid_share=0.2)
+    rows = [(f, 60, m.getNumTrees) for f, m in fitted.items()]
+    trees = spark.createDataFrame(rows, "fold int, max_trees int, trees int")      # a row a fold
+    scores = MT.r2_rmse(oof.where(F.col("fold").isNotNull()).join(d.select("row_id", "noisy"), "row_id"), "pred", "noisy", by=["fold"])
+    return trees.join(scores.select("fold", "n", "rmse"), "fold")
+
+
 @learner("fit_gbt_reg_l1")
 def q_gbt_reg_l1(spark, sf):
     return ML.oof_predict(_model_frame(spark, sf), lambda f: ML.gbt_reg(42 + f, 20, loss="absolute"),

@@ -2,6 +2,8 @@
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from tabstack.operators import models as ML
 from tabstack.operators.linear import linear_prediction, ols_oof_coefficients
 from tabstack.plans import fixtures as FX
@@ -58,3 +60,19 @@ def test_own_label_never_reaches_a_prediction(spark):
         assert a == b
     scored = ML.oof_predict(d, lambda f: ML.rf_cls(42 + f, 5), FEATS, "tier", kind="cls").collect()
     assert len(scored) == d.count() and all(abs(sum(r[f"p{k}"] for k in range(5)) - 1) < 1e-9 for r in scored)
+
+
+def test_early_stopping_keeps_fewer_trees_and_no_leak(spark):
+    from tabstack.operators import models as ML
+    d = spark.range(600).select(F.col("id").alias("row_id"), (F.col("id") % 5).cast("int").alias("fold"), ((F.col("id") * 37) % 101 / 101.0).alias("x"))
+    d = d.withColumn("y", F.col("x") + F.pmod(F.xxhash64("row_id"), F.lit(1000)) / 200.0)
+    moved = d.withColumn("y", F.when(F.col("fold") == 3, 99.0).otherwise(F.col("y")))
+
+    def run(t):
+        fitted = {}
+        out = ML.oof_predict(t, lambda f: ML.gbt_reg(f, 30, 3), ["x"], "y", fitted=fitted, valid_share=0.25)
+        return {r.row_id: r.pred for r in out.where("fold = 3").collect()}, {f: m.getNumTrees for f, m in fitted.items()}
+    a, trees = run(d)
+    assert all(0 < n < 30 for n in trees.values())
+    b, _ = run(moved)
+    assert a == b

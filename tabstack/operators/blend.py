@@ -188,14 +188,107 @@ def candidate_table(spark, candidates: np.ndarray, names: Sequence[str]) -> Data
     return spark.createDataFrame(rows, ["cand", *[f"w_{n}" for n in names]])
 
 
+def simplex_qp(H: np.ndarray, c: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """min c.v + v.H.v / 2 over v >= 0, sum v = 1, by an active set from a
+    feasible ``start`` (H positive semidefinite; M x M on the driver)."""
+    M = len(c)
+    H = H + 1e-12 * max(1.0, np.trace(H) / M) * np.eye(M)
+    v = start.copy()
+    free = v > 0
+    for _ in range(20 * M + 20):
+        F_ = np.flatnonzero(free)
+        K = np.zeros((len(F_) + 1, len(F_) + 1))
+        K[:-1, :-1], K[:-1, -1], K[-1, :-1] = H[np.ix_(F_, F_)], -1.0, 1.0
+        sol = np.linalg.lstsq(K, np.concatenate([-c[F_], [1.0]]), rcond=None)[0]
+        want = np.zeros(M)
+        want[F_] = sol[:-1]
+        if np.all(want >= -1e-15):
+            v = np.clip(want, 0, None)
+            slack = H @ v + c - sol[-1]
+            slack[F_] = 0.0
+            if slack.min() >= -1e-13 * max(1.0, np.abs(c).max()):
+                break
+            free[int(slack.argmin())] = True
+            continue
+        falling = F_[want[F_] < v[F_]]
+        ratio = np.where(want[falling] < 0, v[falling] / (v[falling] - want[falling]), np.inf)
+        at = int(ratio.argmin())
+        v = v + min(1.0, float(ratio[at])) * (want - v)
+        v[falling[at]] = 0.0
+        v = np.clip(v, 0, None)
+        free[falling[at]] = False
+    return v / v.sum()
+
+
+def true_class_probs(df: DataFrame, prob_cols: Sequence[Sequence[str]], label: str, eps: float = 1e-12) -> DataFrame:
+    """q0..q{M-1}: each model's probability of the row's class, at least ``eps``.
+    Rows without a label of the classes, or with a null or NaN probability of it, go."""
+    q = []
+    for m, cols in enumerate(prob_cols):
+        own = F.coalesce(*[F.when(F.col(label) == k, F.col(c).cast("double")) for k, c in enumerate(cols)])
+        q.append(F.when(own.isNotNull() & ~F.isnan(own), F.greatest(own, F.lit(eps))).alias(f"q{m}"))
+    return df.select(*q).dropna()
+
+
+def blend_logloss_cls(df: DataFrame, prob_cols: Sequence[Sequence[str]], label: str, tol: float = 1e-9,
+                      max_steps: int = 40) -> tuple[np.ndarray, float, float]:
+    """(weights, log-loss, gap): simplex weights that minimise the mean log-loss
+    of the blended probabilities, a convex problem, for any number of models.
+
+    Newton steps: one aggregate over the rows yields gradient and Hessian, the
+    quadratic model on the simplex is solved exactly, one more aggregate tries
+    ten step lengths.  For weights on the simplex ``gap = max_m mean(q_m / blend)
+    - 1`` bounds how far the loss lies above the least one; the steps end at
+    ``tol``.  Equal weights, NaN and NaN where no row has a label."""
+    M = len(prob_cols)
+    q = true_class_probs(df, prob_cols, label).persist()
+    cols = [F.col(f"q{m}") for m in range(M)]
+
+    def blend(w):
+        return sum((F.lit(float(x)) * c for x, c in zip(w[1:], cols[1:])), F.lit(float(w[0])) * cols[0])
+
+    w, loss, gap = np.ones(M) / M, float("nan"), float("nan")
+    try:
+        for step in range(max_steps):
+            s = blend(w)
+            ratio = [c / s for c in cols]
+            sums = [F.avg(-F.ln(s)).alias("loss")] + [F.avg(r).alias(f"g{i}") for i, r in enumerate(ratio)]
+            sums += [F.avg(ratio[i] * ratio[j]).alias(f"h{i}_{j}") for i in range(M) for j in range(i, M)]
+            r = one_row(q.agg(*sums))
+            if r["loss"] is None:
+                break
+            g, H = -np.array([r[f"g{i}"] for i in range(M)]), np.zeros((M, M))
+            for i in range(M):
+                for j in range(i, M):
+                    H[i, j] = H[j, i] = r[f"h{i}_{j}"]
+            loss, gap = float(r["loss"]), float(max(0.0, (-g).max() - 1.0))
+            if gap <= tol:
+                break
+            to = simplex_qp(H, g - H @ w, w)
+            tries = [0.5 ** t for t in range(10)]
+            row = one_row(q.agg(*[F.avg(-F.ln(blend(w + t * (to - w)))).alias(f"l{i}") for i, t in enumerate(tries)]))
+            i = min(range(len(tries)), key=lambda j: row[f"l{j}"])
+            if not row[f"l{i}"] < loss:
+                break       # no step lowers the loss in doubles
+            w = np.clip(w + tries[i] * (to - w), 0, None)
+            w = w / w.sum()
+    finally:
+        q.unpersist()
+    return w, loss, gap
+
+
 def blend_convex_cls(df: DataFrame, prob_cols: Sequence[Sequence[str]], label: str,
-                     rounds: int = 3, n_random: int = 256, n_start: int = 1024, seed: int = 42) -> tuple[np.ndarray, float]:
-    """Simplex weights maximising accuracy: equal weights, corners and
-    ``n_start`` seeded Dirichlet draws for any number of models, then refine around the winner with shrinking
+                     rounds: int = 3, n_random: int = 256, n_start: int = 1024, seed: int = 42,
+                     start: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Simplex weights maximising accuracy: ``start`` (say, the weights of the
+    least log-loss), equal weights, corners and ``n_start`` seeded Dirichlet
+    draws for any number of models, then refine around the winner with shrinking
     perturbations (one scan per round)."""
     M = len(prob_cols)
     rng = np.random.default_rng(seed)
     cands = np.vstack([np.ones((1, M)) / M, np.eye(M), rng.dirichlet(np.ones(M), size=n_start)])
+    if start is not None:
+        cands = np.vstack([start[None, :], cands])
     best_w, best_acc = None, -1.0
     scale = 0.05
     for _ in range(rounds):

@@ -11,7 +11,8 @@ the OOF table is checkpointed (lineage cut) when written.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -19,12 +20,13 @@ from pyspark.ml import Estimator
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabstack.functions.expr import exp_shift, log_shift, round_to_class
+from tabstack.operators.folds import assign_folds_stratified
 from tabstack.session import cut_lineage
 
 FEATURES_COL = "features"
@@ -169,6 +171,69 @@ def binary_ovr_probs(df: DataFrame, features: Sequence[str], label: str, fold: s
     return cut_lineage(out)
 
 
+def nested_stack_cls(df: DataFrame, bases: Mapping[str, Callable[[int], Estimator]], features: Sequence[str],
+                     label: str, fold: str = "fold", inner: int = 3, n_classes: int = 5, key: str = "row_id",
+                     C: float = 1.0, parallelism: int = 8) -> DataFrame:
+    """(key, fold, p0..p{C-1}): a stack of classifiers under a multinomial
+    logistic model with penalty ``1 / C``, its cross-validation nested.
+
+    For every outer fold the bases are cross-fitted over ``inner`` parts of the
+    other folds; the meta model learns from those out-of-part probabilities and
+    scores the fold with bases refitted on all its training rows.  Rows without
+    a fold are scored by the stack over all labelled rows.  ``bases`` maps a
+    name to a maker of estimators (argument: a seed).
+
+    The inner parts are exact strata of (fold, class), so one assignment serves
+    all outer folds and a row's own label never reaches what scores it.  The
+    base fits are independent jobs on one persisted frame."""
+    train = F.col(fold).isNotNull() & F.col(label).isNotNull()
+    d = df.select(key, fold, F.col(label).cast("double").alias(label), *features) \
+        .withColumn("_stratum", F.concat_ws("|", F.col(fold), F.col(label)))
+    d = assign_folds_stratified(d, key, inner, "_stratum", only_where=train, fold_col="_inner").drop("_stratum")
+    d = cut_lineage(assemble(d, features).drop(*features)).persist(StorageLevel.MEMORY_AND_DISK)
+    outer = sorted(r[0] for r in d.where(train).select(fold).distinct().collect()) + [None]
+    names = list(bases)
+
+    def rows_of(o):
+        return train if o is None else train & (F.col(fold) != o)
+
+    def fit(job):
+        o, name, j = job
+        rows = d.where(rows_of(o) if j is None else rows_of(o) & (F.col("_inner") != j))
+        seed = 42 + 100 * names.index(name) + (0 if j is None else j + 1)
+        return job, bases[name](seed).setLabelCol(label).fit(rows)
+
+    jobs = [(o, name, j) for o in outer for name in names for j in [*range(inner), None]]
+    fitted = dict(parallel(fit, jobs, parallelism))
+
+    def score(o):
+        s, meta = d, []
+        for name in names:
+            for j in [*range(inner), None]:
+                tag = f"_{name}_{'all' if j is None else j}"
+                m = fitted[o, name, j].copy().setPredictionCol(f"{tag}_c").setProbabilityCol(tag).setRawPredictionCol(f"{tag}_r")
+                s = m.transform(s).withColumn(tag, vector_to_array(tag)).drop(f"{tag}_c", f"{tag}_r")
+            own = F.col(f"_{name}_all")
+            for j in range(inner):
+                own = F.when(rows_of(o) & (F.col("_inner") == j), F.col(f"_{name}_{j}")).otherwise(own)
+            # a training part may lack the highest classes: their probability is 0
+            meta += [F.coalesce(F.get(own, F.lit(k)), F.lit(0.0)) for k in range(n_classes)]
+        s = s.select(key, fold, label, "_inner", array_to_vector(F.array(*meta)).alias("_meta")).persist(StorageLevel.MEMORY_AND_DISK)
+        learn = s.where(rows_of(o))
+        n = learn.count()
+        top = LogisticRegression(featuresCol="_meta", labelCol=label, family="multinomial", regParam=1.0 / (C * n),
+                                 standardization=False, maxIter=2000, probabilityCol="_p").fit(learn)
+        here = s.where(F.col(fold).isNull() if o is None else F.col(fold) == o)
+        p = top.transform(here).withColumn("_p", vector_to_array("_p"))
+        out = cut_lineage(p.select(key, fold, *[F.coalesce(F.get("_p", F.lit(k)), F.lit(0.0)).alias(f"p{k}") for k in range(n_classes)]))
+        s.unpersist()
+        return out
+
+    parts = parallel(score, outer, parallelism)
+    d.unpersist()
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def ordinal_regression(df: DataFrame, features: Sequence[str], label: str, fold: str,
                        key: str = "row_id", n_classes: int = 5) -> DataFrame:
     """Class regressed as a number; keep the float and the rounded class."""

@@ -219,12 +219,36 @@ def q_blend_grid(spark, sf):
 
 @query("blend_convex_cls")
 def q_blend_convex_cls(spark, sf):
+    """Weights of the least log-loss, then a search by accuracy that starts there."""
     p = _train(FX.acct_pred(spark, sf))
-    w, acc = B.blend_convex_cls(p, PROBS, "tier", rounds=3)
+    smooth, _, _ = B.blend_logloss_cls(p, PROBS, "tier")
+    w, acc = B.blend_convex_cls(p, PROBS, "tier", rounds=3, start=smooth)
     rows = [(f"m{m}", float(w[m]), float(acc)) for m in range(M)]
     return spark.createDataFrame(rows, "model string, weight double, accuracy double")
 
 
+def _logloss2_sql():
+    """The two-model case by bisection: the derivative of a convex loss along the
+    weight of the first model changes its sign once."""
+    q = [f"greatest(CASE tier {' '.join(f'WHEN {k} THEN {c}' for k, c in enumerate(PROBS[m]))} END, 1e-12)" for m in (0, 1)]
+    slope = "(SELECT sum((q0 - q1) / (mid * q0 + (1 - mid) * q1)) FROM q)"
+    return W("acct_pred", f"""SELECT {sq6('w', '1e4')} AS w_m0, {sq6('1 - w', '1e4')} AS w_m1, {sq6('avg(-ln(w * q0 + (1 - w) * q1))')} AS logloss
+FROM q, (SELECT (lo + hi) / 2 AS w FROM halves WHERE i = 45) GROUP BY w""", extra=[
+        f"q AS (SELECT {q[0]} AS q0, {q[1]} AS q1 FROM acct_pred WHERE fold IS NOT NULL)",
+        f"""halves(i, lo, hi) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) UNION ALL
+  SELECT i + 1, CASE WHEN up > 0 THEN mid ELSE lo END, CASE WHEN up > 0 THEN hi ELSE mid END
+  FROM (SELECT i, lo, hi, mid, {slope} AS up FROM (SELECT *, (lo + hi) / 2 AS mid FROM halves WHERE i < 45)))"""]).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("blend_logloss_cls", _logloss2_sql())
+def q_blend_logloss(spark, sf):
+    """Log-loss-optimal weights of the first two models and their loss."""
+    p = _train(FX.acct_pred(spark, sf))
+    w, loss, _ = B.blend_logloss_cls(p, PROBS[:2], "tier", tol=1e-12)
+    one = p.agg(F.count(F.lit(1)).alias("_n"))  # a one-row frame to carry the literals
+    return one.select(q6(F.lit(float(w[0])), 1e4).alias("w_m0"), q6(F.lit(float(w[1])), 1e4).alias("w_m1"), q6(F.lit(loss)).alias("logloss"))
+
+
 @query("blend_convex_reg")
 def q_blend_convex_reg(spark, sf):
     p = _train(FX.acct_pred(spark, sf))

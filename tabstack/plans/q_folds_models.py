@@ -386,6 +386,22 @@ def q_stack_meta(spark, sf):
     return s.select("row_id", "fold", linear_prediction(["b_rf", "b_gbt"], coefs, mean, "fold").alias("pred"))
 
 
+@query("stack_nested_cls")
+def q_stack_nested(spark, sf):
+    """Classification stack with nested cross-validation: the class and its
+    probabilities for every row, and the accuracy of the row's outer fold (null
+    for rows without one)."""
+    d = _model_frame(spark, sf)
+    # fixed values: two unlike forests and a softmax regression as bases
+    bases = {"deep": lambda s: ML.rf_cls(s, 20, 8), "shallow": lambda s: ML.rf_cls(s, 20, 4), "soft": lambda s: ML.logistic_multi(0.01)}
+    probs = ML.nested_stack_cls(d, bases, FEATS, "tier", "fold")
+    ps = [f"p{k}" for k in range(5)]
+    out = probs.join(d.select("row_id", "tier"), "row_id").withColumn("cls", E.argmax_class(F.array(*ps)))
+    per_fold = MT.accuracy(out.where(F.col("fold").isNotNull()), "cls", "tier", by=["fold"]).select("fold", F.col("accuracy").alias("fold_accuracy"))
+    return out.join(F.broadcast(per_fold), "fold", "left").select("row_id", "fold", "tier", "cls", *[q6(p).alias(p) for p in ps],
+                                                                  q6("fold_accuracy").alias("fold_accuracy"))
+
+
 @learner("stack_stage2_trees")
 def q_stage2(spark, sf):
     """Second-stage trees on features + first-stage OOF, three seeds averaged."""

@@ -11,6 +11,7 @@ from tabstack.operators import select as SL
 from tabstack.operators._util import bounded_broadcast
 from tabstack.operators.aggregates import corr_pairs
 from tabstack.operators.frames import union_rows
+from tabstack.operators.knn_info import knn_mutual_information, knn_mutual_information_numeric
 from tabstack.operators.linear import gram_by
 from tabstack.operators.neighbours import knn_candidates, knn_target
 from tabstack.plans import fixtures as FX
@@ -133,6 +134,56 @@ def q_mi(spark, sf):
     return m.select("feature", q6("mi").alias("mi"))
 
 
+def _psi_sql(e):
+    y = f"(CAST({e} AS DOUBLE) + 8.0)"
+    z = f"(1.0 / ({y} * {y}))"
+    back = " - ".join(f"1.0 / (CAST({e} AS DOUBLE) + {j}.0)" for j in range(8))
+    return f"(ln({y}) - 0.5 / {y} - {z} * (1.0 / 12.0 - {z} * (1.0 / 120.0 - {z} / 252.0)) - {back})"
+
+
+KNN_MI_SQL = [
+    FEATS_SQL,
+    "long AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, row_id, CAST({f} AS DOUBLE) AS x, tier AS y FROM feats WHERE {f} IS NOT NULL" for f in SEL) + ")",
+    "sized AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS ny, count(*) OVER (PARTITION BY feature, y, x) AS c FROM long QUALIFY ny > 1)",
+    "spread AS (SELECT *, list_sort([" + ", ".join(f"abs(x - {side}(x, {i}) OVER w)" for side in ("lag", "lead") for i in (1, 2, 3))
+    + "], 'ASC', 'NULLS LAST')[least(3, ny - 1)] AS r FROM sized WINDOW w AS (PARTITION BY feature, y ORDER BY x, row_id))",
+    "balls AS (SELECT *, greatest(0.0, r - 1e-15 * (abs(x) + r)) AS inn FROM spread)",
+    """met AS (SELECT a.feature, a.row_id, a.ny, a.r, a.c, count(*) AS m FROM balls a JOIN balls b
+  ON a.feature = b.feature AND b.x >= a.x - a.inn AND b.x <= a.x + a.inn GROUP BY ALL)"""]
+
+
+@query("sel_mutual_info_knn", W("acct", f"""SELECT feature, count(*) AS n,
+  {sq6(f"greatest(0.0, {_psi_sql('count(*)')} + avg({_psi_sql('CASE WHEN r = 0 THEN c ELSE least(3, ny - 1) END')} - {_psi_sql('ny')} - {_psi_sql('m')}))")} AS mi
+FROM met GROUP BY feature""", extra=KNN_MI_SQL))
+def q_mi_knn(spark, sf):
+    """Mutual information with the class by the three nearest rows of the class."""
+    m = knn_mutual_information(_sel_frame(spark, sf), SEL, "tier", 3)
+    return m.select("feature", "n", q6("mi").alias("mi"))
+
+
+KNN_MI_RATE_SQL = [
+    FEATS_SQL,
+    "long AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, row_id, CAST({f} AS DOUBLE) AS x, CAST(rate AS DOUBLE) AS y FROM feats WHERE {f} IS NOT NULL" for f in SEL) + ")",
+    """unit AS (SELECT l.feature, row_id, x / CASE WHEN sx > 0 THEN sx ELSE 1.0 END AS x, y / CASE WHEN sy > 0 THEN sy ELSE 1.0 END AS y, n
+  FROM long l JOIN (SELECT feature, stddev_pop(x) AS sx, stddev_pop(y) AS sy, count(*) AS n FROM long GROUP BY feature) s ON l.feature = s.feature)""",
+    """near AS (SELECT a.feature, a.row_id, a.x, a.y, a.n, min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 4) AS d,
+  count(CASE WHEN a.x = b.x AND a.y = b.y THEN 1 END) AS c FROM unit a JOIN unit b ON a.feature = b.feature GROUP BY ALL)""",
+    "balls AS (SELECT *, d[CAST(least(3, n - 1) + 1 AS BIGINT)] AS r FROM near)",
+    """met AS (SELECT a.feature, a.row_id, a.n, a.r, a.c,
+  count(CASE WHEN abs(b.x - a.x) <= greatest(0.0, a.r - 1e-15 * (abs(a.x) + a.r)) THEN 1 END) AS nx,
+  count(CASE WHEN abs(b.y - a.y) <= greatest(0.0, a.r - 1e-15 * (abs(a.y) + a.r)) THEN 1 END) AS ny
+  FROM balls a JOIN unit b ON a.feature = b.feature GROUP BY ALL)"""]
+
+
+@query("sel_mutual_info_rate", W("acct", f"""SELECT feature, n,
+  {sq6(f"greatest(0.0, {_psi_sql('n')} + avg({_psi_sql('CASE WHEN r = 0 THEN c ELSE least(3, n - 1) END')} - {_psi_sql('nx')} - {_psi_sql('ny')}))")} AS mi
+FROM met GROUP BY feature, n""", extra=KNN_MI_RATE_SQL))
+def q_mi_rate(spark, sf):
+    """Mutual information with the rate by the three nearest rows in the plane of both."""
+    m = knn_mutual_information_numeric(_sel_frame(spark, sf), SEL, "rate", 3)
+    return m.select("feature", "n", q6("mi").alias("mi"))
+
+
 SIG_SQL = ("sig AS (SELECT c.feature, c.cr, c.ct, mi.mi FROM (" + " UNION ALL ".join(
     f"SELECT '{f}' AS feature, abs(corr({f}, rate)) AS cr, abs(corr({f}, tier)) AS ct FROM feats" for f in SEL)
     + ") c JOIN mi ON mi.feature = c.feature)")

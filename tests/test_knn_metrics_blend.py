@@ -94,3 +94,38 @@ def test_stratified_sample_exact_with_fallback(spark):
     pdf["h"] = [hashlib.md5(f"42|{r}".encode()).hexdigest() for r in pdf.row_id]
     exp = pdf.sort_values("h").groupby("tier").head(50)
     assert sorted(got.row_id) == sorted(exp.row_id)
+
+
+def test_logloss_blend_is_the_least(spark):
+    """Against mixture-weight steps in NumPy, with models of no use and a corner."""
+    rng = np.random.default_rng(5)
+    n, C, M = 1500, 4, 6
+    y = rng.integers(0, C, n)
+    P = rng.dirichlet(np.ones(C), size=(M, n))
+    for m, share in enumerate((0.5, 0.35, 0.2, 0.0, 0.0, 0.45)):
+        P[m][np.arange(n), y] += share * rng.random(n)
+    P[4] = P[0]                                          # a twin: weights are not unique, the loss is
+    P /= P.sum(axis=2, keepdims=True)
+    cols = [[f"m{m}_{k}" for k in range(C)] for m in range(M)]
+    p = pd.DataFrame({cols[m][k]: P[m, :, k] for m in range(M) for k in range(C)} | {"y": y})
+    df = spark.createDataFrame(p).repartition(6)
+    w, loss, gap = B.blend_logloss_cls(df, cols, "y")
+    q = P[:, np.arange(n), y]
+    v = np.ones(M) / M
+    for _ in range(20_000):
+        v = v * (q / (v @ q)).mean(axis=1)
+    assert abs(w.sum() - 1) < 1e-12 and (w >= 0).all() and gap < 1e-6
+    assert abs(loss + np.log(w @ q).mean()) < 1e-12 and loss <= -np.log(v @ q).mean() + 1e-9
+    corner = B.blend_logloss_cls(df, [cols[5], cols[3]], "y")[0]
+    one = B.blend_logloss_cls(df, [cols[0]], "y")
+    assert 0.9 < corner[0] <= 1 and one[0].tolist() == [1.0]
+
+
+def test_logloss_blend_without_rows_and_with_nulls(spark):
+    schema = "a0 double, a1 double, b0 double, b1 double, y int"
+    cols = [["a0", "a1"], ["b0", "b1"]]
+    w, loss, _ = B.blend_logloss_cls(spark.createDataFrame([], schema), cols, "y")
+    assert w.tolist() == [0.5, 0.5] and np.isnan(loss)
+    rows = [(0.9, 0.1, 0.5, 0.5, 0), (0.2, 0.8, 0.5, 0.5, 1), (None, 0.1, 0.5, 0.5, 0), (0.1, 0.9, 0.5, 0.5, None), (0.0, 1.0, 0.5, 0.5, 7)]
+    w, loss, _ = B.blend_logloss_cls(spark.createDataFrame(rows, schema), cols, "y")
+    assert w[0] > 0.999 and abs(loss + np.log([0.9, 0.8]).mean()) < 1e-6

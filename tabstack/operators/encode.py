@@ -387,3 +387,38 @@ def ordered_target_encode(df: DataFrame, key: str, target: str, row_key: str, is
         out, (F.coalesce("_ts", F.lit(0.0)) + F.lit(a * prior)) / (F.coalesce("_tn", F.lit(0)) + F.lit(a)))
     cols = df.columns + [out]
     return ordered.select(*cols).unionByName(rest.select(*cols))
+
+
+# ------------------------------------------------------- nominal attributes
+
+def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 31) -> dict[str, list[str]]:
+    """Per column its most frequent levels as text (ties by text), at most
+    ``max_levels`` (the bound of what the driver and a tree's bins hold)."""
+    from tabstack.operators.aggregates import unpivot
+    long = unpivot(df, cols, cast="string").where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # a column with very many levels: its own best of each hash part first
+    part = F.pmod(F.xxhash64("value"), F.lit(64))
+    for by in (["column", part], ["column"]):
+        w = Window.partitionBy(*by).orderBy(F.desc("n"), "value")
+        counts = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_levels).drop("_r")
+    out = {c: [] for c in cols}
+    for r in counts.orderBy("column", F.desc("n"), "value").collect():
+        out[r["column"]].append(r["value"])
+    return out
+
+
+def nominal(df: DataFrame, levels: Mapping[str, Sequence[str]], suffix: str = "") -> DataFrame:
+    """Level codes that a tree splits as sets, not as numbers: each column
+    carries a nominal attribute, which the assembled vector keeps.
+
+    Codes follow ``levels``; the next one stands for every other level, the last
+    for NULL.  A tree needs ``maxBins`` of at least the levels plus two."""
+    out = {}
+    for c, known in levels.items():
+        other, null = len(known), len(known) + 1
+        at = F.array_position(F.array(*[F.lit(v) for v in known]), F.col(c).cast("string")) if known else F.lit(0)
+        code = F.when(F.col(c).isNull(), F.lit(null)).when(at > 0, at - 1).otherwise(F.lit(other)).cast("double")
+        names = [*(f"={v}" for v in known), "other", "null"]
+        out[c + suffix] = code.alias(c + suffix, metadata={"ml_attr": {"type": "nominal", "name": c + suffix, "vals": names}})
+    return df.select(*[c for c in df.columns if c not in out], *out.values())

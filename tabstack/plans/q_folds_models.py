@@ -8,19 +8,24 @@ oracle states for every input row."""
 from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tabstack.functions import expr as E
+from tabstack.operators import encode as EN
 from tabstack.operators import grower as G
 from tabstack.operators import metrics as MT
 from tabstack.operators import models as ML
 from tabstack.operators.folds import assign_folds_hash, assign_folds_mixed, cv_summary
 from tabstack.operators.linear import linear_prediction, ols_oof_coefficients
 from tabstack.operators.sampling import feature_bags
+from tabstack.operators.search import successive_halving
 from tabstack.plans import fixtures as FX
 from tabstack.plans.flagship import acct_features
 from tabstack.plans.registry import q6, query, sq6
+from tabstack.session import scratch_path
+from tabstack.sources import store as ST
 
 W = FX.with_sql
 FEATS = ["balance", "delinquency", "log_total_value", "mortgage_ltv", "value_per_order", "n_orders"]
@@ -348,8 +353,38 @@ def q_tune(spark, sf):
     return spark.createDataFrame(rows, "max_depth int, step_size double, rmse double")
 
 
+@query("tune_halving")
+def q_tune_halving(spark, sf):
+    """Successive halving over seeded draws for boosted trees: every rung's
+    scores, budgets and survivors."""
+    space = {"maxDepth": (2, 5), "stepSize": (0.03, 0.3, "log"), "subsamplingRate": (0.6, 1.0), "minInstancesPerNode": [1, 5, 20]}
+    return successive_halving(_model_frame(spark, sf), lambda c, trees: GBTRegressor(maxIter=trees, seed=42, **c),
+                              space, FEATS, "rate", "fold", draws=9, budgets=(3, 9, 27))
+
+
+@learner("fit_native_cat")
+def q_native_cat(spark, sf):
+    """Boosted trees that split segment and nation as sets of levels."""
+    a = acct_features(FX.acct_folds(spark, sf)).select("row_id", "fold", "rate", "segment", "nation", *FEATS)
+    d = EN.nominal(a, EN.fit_levels(a, ["segment", "nation"], 30))
+    return ML.oof_predict(d, lambda f: ML.gbt_reg(42 + f, 15), [*FEATS, "segment", "nation"], "rate", "fold", "reg")
+
+
 # ---------------------------------------------------------------- stacking
 
+@query("oof_bucketed_align", W("acct_pred", f"""SELECT row_id, {', '.join(f"{sq6(f'm{m}_rate')} AS m{m}" for m in range(5))} FROM acct_pred"""))
+def q_bucketed(spark, sf):
+    """Five models' predictions, each a table bucketed by row, aligned without a shuffle."""
+    p = FX.acct_pred(spark, sf)
+    buckets = ST.oof_buckets(p.count())
+    tables = {}
+    for m in range(5):
+        path = scratch_path(spark, f"oof_m{m}")
+        tables[f"m{m}"] = "oof_" + path.rsplit("-", 1)[1]
+        ST.write_bucketed(p.select("row_id", F.col(f"m{m}_rate").alias("pred")), tables[f"m{m}"], path, "row_id", buckets)
+    return ST.align_bucketed(spark, tables, "row_id").select("row_id", *[q6(c).alias(c) for c in tables])
+
+
 @query("stack_features", W("acct_pred", f"""SELECT a.row_id, a.tier, a.rate, {sq6("1.0 * a.late30 + 3.0 * a.late60 + 9.0 * a.late90")} AS delinquency,
   {', '.join(f"{sq6(f'p.m{m}_rate')} AS oof_m{m}" for m in range(5))}, {sq6('p.m0_p4')} AS oof_p4
 FROM acct a JOIN acct_pred p ON p.row_id = a.row_id"""))

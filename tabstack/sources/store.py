@@ -7,7 +7,7 @@ that names a task or version only lists those folders (partition pruning).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +65,39 @@ def pivot_models(long: DataFrame, models: Sequence[str], value: str = "pred",
     """Long (row, model) -> wide (row, one column per model); the model list
     is given so the pivot needs no distinct pass."""
     return long.groupBy(key).pivot("model", list(models)).agg(F.first(value))
+
+
+# ------------------------------------------------------------ bucketed models
+
+def oof_buckets(rows: int, rows_per_bucket: int = 2_000_000) -> int:
+    """Buckets for tables of this many rows; all tables to be aligned share one number."""
+    return max(1, -(-rows // rows_per_bucket))
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """A model's predictions as a table bucketed and sorted by ``key``, a file per
+    bucket.  The one shuffle is paid here, by the writer."""
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet") \
+        .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """The table again in another session, whose catalog does not know it.  Key
+    and number of buckets are to be those it was written with."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+              f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def align_bucketed(spark: SparkSession, tables: Mapping[str, str], key: str, value: str = "pred") -> DataFrame:
+    """(key, a column per model): equally bucketed tables joined bucket by bucket,
+    with no shuffle.  ``tables`` maps a column to a table.  The first table's rows
+    are aligned; what another model lacks is NULL, a NULL key matches nothing.
+    (A full join would merge the two keys into a new one, and with it lose the
+    buckets for the next join.)"""
+    out = None
+    for col, name in tables.items():
+        t = spark.table(name).select(key, F.col(value).alias(col))
+        out = t if out is None else out.join(t.hint("merge"), key, "left")
+    return out

@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabstack.operators._util import one_row
+from tabstack.operators._util import BROADCAST_MAX_BYTES, null_safe_join, one_row, table_bytes
+from tabstack.session import cut_lineage
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), cast: str | None = None,
@@ -211,20 +212,79 @@ def value_counts_top(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFram
     return cnt.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], qs: Sequence[float],
+                      bins: int = QUANTILE_BINS) -> DataFrame:
+    """Exact linear-interpolation quantiles per group (at least one column in ``by``): ``by`` and ``q0, q1, ...``.
+
+    The brackets of :func:`exact_quantiles` as a table, one row per group and
+    rank, so groups may be many or hold most rows: each round joins the rows to
+    the open brackets of their group and counts slices before the shuffle; a
+    group sends at most brackets x ``bins`` rows.  Null and NaN values are left
+    out (a group of these alone gives no row); a null group is a group.
+    """
+    g = [f"_g{i}" for i in range(len(by))]
+    y = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    d = df.select(*[F.col(c).alias(n) for c, n in zip(by, g)], y.alias("_y")).where(F.col("_y").isNotNull())
+    inf = F.lit(float("inf"))
+    finite = F.when(F.abs("_y") < inf, F.col("_y"))
+    stats = d.groupBy(*g).agg(F.count("_y").alias("_n"), F.count_if(F.col("_y") == -inf).alias("_low"), F.count_if(F.col("_y") == inf).alias("_high"),
+                              F.min(finite).alias("_min"), F.max(finite).alias("_max")).where("_n > 0")
+    stats = cut_lineage(stats)
+    at = [F.floor((F.col("_n") - 1) * F.lit(float(q))) for q in qs]
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(k, F.least(k + 1, F.col("_n") - 1)) for k in at])))
+    below, above = F.col("_rank") < F.col("_low"), F.col("_rank") >= F.col("_n") - F.col("_high")
+
+    def bound(c: str) -> Column:
+        return F.when(below, -inf).when(above, inf).otherwise(F.col(c))
+
+    state = cut_lineage(stats.withColumn("_rank", F.explode(ranks)).select(
+        *g, "_rank", bound("_min").alias("_lo"), bound("_max").alias("_hi"), F.col("_low").alias("_below")))
+    while not (todo := state.where("_lo < _hi")).isEmpty():
+        brackets = todo.select(*g, "_lo", "_hi", "_below").distinct()
+        brackets = F.broadcast(brackets) if table_bytes(todo) <= BROADCAST_MAX_BYTES else brackets
+        width = F.col("_hi") / 2 - F.col("_lo") / 2   # halves: the difference may overflow
+        cell = F.when(width > 0, F.least(F.floor((F.col("_y") / 2 - F.col("_lo") / 2) / width * bins), F.lit(bins - 1))) \
+            .when(F.col("_y") < F.col("_hi"), 0).otherwise(bins - 1)
+        met = null_safe_join(d, brackets, g, "inner")
+        key = [*g, "_lo", "_hi", "_below"]
+        slices = (met.where(F.col("_y").between(F.col("_lo"), F.col("_hi"))).groupBy(*key, cell.cast("int").alias("_cell"))
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min("_y").alias("_from"), F.max("_y").alias("_to")))
+        upto = F.col("_below") + F.sum("_n").over(Window.partitionBy(*key).orderBy("_cell"))
+        slices = slices.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_n"))
+        hit = null_safe_join(todo, slices, key, "inner").where((F.col("_start") <= F.col("_rank")) & (F.col("_rank") < F.col("_end")))
+        state = cut_lineage(state.where("_lo >= _hi").unionByName(
+            hit.select(*g, "_rank", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_start").alias("_below"))))
+    # at most two ranks per quantile and group
+    found = state.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_v"))
+    rows = null_safe_join(stats, found, g, "inner")
+    out = []
+    for i, (q, k) in enumerate(zip(qs, at)):
+        a, b = F.col("_v")[k], F.col("_v")[F.least(k + 1, F.col("_n") - 1)]
+        part = (F.col("_n") - 1) * F.lit(float(q)) - k
+        out.append(F.when(a == b, a).otherwise(a + (b - a) * part).alias(f"q{i}"))
+    return rows.select(*[F.col(n).alias(c) for c, n in zip(by, g)], *out)
+
+
 def describe(df: DataFrame, target: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """count, mean, std, min, quartiles, max (box-plot five numbers).
 
-    Exact quartiles keep a value->count map per group; ``exact=False`` takes
+    Exact quartiles come from :func:`grouped_quantiles`; ``exact=False`` takes
     ``percentile_approx`` (rank error 1e-5) and says so in the column
     ``approximate``."""
     y = F.col(target).cast("double")
-    q = F.percentile(y, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(y, [0.25, 0.5, 0.75], 100000)
-    extra = [] if exact else [F.lit(True).alias("approximate")]
-    return df.groupBy(*by).agg(F.count(y).alias("count"), F.avg(y).alias("mean"),
-                               F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
-                               q.alias("_q"), F.max(y).alias("max")) \
-        .select(*by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"),
-                F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max", *extra)
+    aggs = [F.count(y).alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max")]
+    names = [*by, "count", "mean", "std", "min"]
+    if not exact:
+        q = F.percentile_approx(y, [0.25, 0.5, 0.75], 100000).alias("_q")
+        return df.groupBy(*by).agg(*aggs, q).select(*names, *[F.col("_q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
+                                                    "max", F.lit(True).alias("approximate"))
+    base, qs = df.groupBy(*by).agg(*aggs), [0.25, 0.5, 0.75]
+    if by:
+        joined = null_safe_join(base, grouped_quantiles(df, target, by, qs), list(by))
+    else:
+        whole = exact_quantiles(df, {target: qs})[target]
+        joined = base.withColumns({f"q{i}": F.lit(v).cast("double") for i, v in enumerate(whole)})
+    return joined.select(*names, F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max")
 
 
 def histogram(df: DataFrame, col: str | Column, bins: int = 60, name: str = "x") -> DataFrame:

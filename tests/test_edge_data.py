@@ -33,6 +33,36 @@ def test_exact_quantiles_with_ties_nan_and_infinity(spark):
     assert got["wide"][0] == float("-inf") and got["wide"][2] == -1e308 and got["wide"][-1] == 1e308
 
 
+def test_grouped_quantiles_equal_numpy(spark):
+    d = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
+        (F.col("id") % 2).alias("h"),
+        F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 13 == 0, float("nan"))
+        .when(F.col("id") % 40 == 4, None).when(F.col("id") % 40 == 5, 2.5)
+        .otherwise(F.exp((F.hash("id") % 100) / 3.0)).alias("y"), F.lit("clash").alias("_n"))
+    rows = {}
+    for r in d.collect():
+        if r.y is not None and not math.isnan(r.y):
+            rows.setdefault((r.g, r.h), []).append(r.y)
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    for bins in (2, 2048):
+        got = {(r.g, r.h): [r[f"q{i}"] for i in range(len(qs))] for r in A.grouped_quantiles(d, "y", ["g", "h"], qs, bins).collect()}
+        assert set(got) == set(rows)
+        assert all(np.allclose(got[k], np.quantile(v, qs), rtol=1e-12) for k, v in rows.items())
+    assert A.grouped_quantiles(d.limit(0), "y", ["g"], qs).count() == 0
+    inf = spark.createDataFrame([(1, float("-inf")), (1, 0.0), (1, 5e-324), (1, float("inf")), (1, float("inf"))], "g int, y double")
+    assert list(A.grouped_quantiles(inf, "y", ["g"], qs).first())[1:] == [float("-inf"), 0.0, 5e-324, float("inf"), float("inf")]
+
+
+def test_describe_with_and_without_groups(spark):
+    d = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("b", None), (None, 3.0)], "g string, y double")
+    got = {r.g: (r["count"], r.min, r.q25, r.q50, r.q75, r.max) for r in A.describe(d, "y", ["g"]).collect()}
+    assert got == {"a": (2, 1.0, 1.75, 2.5, 3.25, 4.0), "b": (0, None, None, None, None, None), None: (1, 3.0, 3.0, 3.0, 3.0, 3.0)}
+    r = A.describe(d, "y").first()
+    assert (r["count"], r.q25, r.q50, r.q75) == (3, 2.0, 3.0, 3.5)
+    assert A.describe(d.limit(0), "y").first()["count"] == 0
+
+
 def test_null_stratum_gets_folds_and_samples(spark):
     d = spark.range(1000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("s"))
     f = assign_folds_stratified(d, "row_id", 5, "s")

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 import re
 import textwrap
 
@@ -235,7 +236,7 @@ def test_spotsigs_edge_rows_and_many_ranges(spark, docs_of, monkeypatch):
     rows = [(1, "the cat sat on the mat"), (7, None), (30, ""), (31, "Über 🙂 naïve"), (40, "the " * 3000), (41, "plain words only here"), (500, "the cat sat on the mat"), (501, "x")]
     docs = docs_of(rows).withColumn("sigs", F.lit("clash"))
     check_spots(spotsigs.compare_edited(docs).collect(), rows)
-    monkeypatch.setattr(spotsigs.with_next, "__defaults__", (2,))
+    monkeypatch.setattr(spotsigs.with_next, "__defaults__", (spotsigs.with_next.__defaults__[0], 2))
     check_spots(spotsigs.compare_edited(docs).collect(), rows)
     check_spots(spotsigs.compare_edited(docs.filter("doc_id = 1")).collect(), rows[:1])
     assert spotsigs.compare_edited(docs.limit(0)).count() == 0
@@ -286,3 +287,22 @@ def test_nearest_edge_rows(spark):
     got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in ann.search(vectors, F.col("vec_id") % 100 == 0, k=3, shard_rows=3).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 100, 2.236068), (100, 1, 0, 2.236068), (100, 2, 1, 2.236068), (100, 3, 2, 2.236068)]
     assert ann.search(vectors.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_spot_near_duplicates_of_many_lengths_and_hot_hashes(spark, docs_of):
+    rng = random.Random(5)
+    rows = []
+    for k in range(120):     # sets of 4 to 60 signatures out of few words, so that hashes are shared by many
+        base = [f"the red{rng.randrange(12)} fox{rng.randrange(3)}" for _ in range(rng.choice([4, 9, 10, 25, 60]))]
+        rows.append((2 * k, " ".join(base)))
+        rows.append((2 * k + 1, " ".join(base[: max(1, len(base) - rng.randrange(3))])))
+    rows += [(900, None), (901, ""), (902, "no spots")]
+    sets = {i: brute_spots(t or "") for i, t in rows}
+    for threshold, block in ((0.8, 7), (0.5, 1000)):
+        member, pairs = spotsigs.near_duplicates(docs_of(rows), threshold, block=block)
+        member = {r.id: r.class_id for r in member.collect()}
+        ids = sorted(i for i in sets if sets[i] and member[i] == i)
+        want = {(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if jaccard(sets[a], sets[b]) >= threshold}
+        got = [(r.a, r.b) for r in pairs.collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+        assert all(sets[i] == sets[c] for i, c in member.items() if sets[i])

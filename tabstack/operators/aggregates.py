@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabstack.operators._util import BROADCAST_MAX_BYTES, null_safe_join, one_row, table_bytes
-from tabstack.session import cut_lineage
+from tabstack.session import written
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), cast: str | None = None,
@@ -229,7 +229,7 @@ def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], qs: Sequence[f
     finite = F.when(F.abs("_y") < inf, F.col("_y"))
     stats = d.groupBy(*g).agg(F.count("_y").alias("_n"), F.count_if(F.col("_y") == -inf).alias("_low"), F.count_if(F.col("_y") == inf).alias("_high"),
                               F.min(finite).alias("_min"), F.max(finite).alias("_max")).where("_n > 0")
-    stats = cut_lineage(stats)
+    stats = written(stats, "group-stats")
     at = [F.floor((F.col("_n") - 1) * F.lit(float(q))) for q in qs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(k, F.least(k + 1, F.col("_n") - 1)) for k in at])))
     below, above = F.col("_rank") < F.col("_low"), F.col("_rank") >= F.col("_n") - F.col("_high")
@@ -237,8 +237,8 @@ def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], qs: Sequence[f
     def bound(c: str) -> Column:
         return F.when(below, -inf).when(above, inf).otherwise(F.col(c))
 
-    state = cut_lineage(stats.withColumn("_rank", F.explode(ranks)).select(
-        *g, "_rank", bound("_min").alias("_lo"), bound("_max").alias("_hi"), F.col("_low").alias("_below")))
+    state = written(stats.withColumn("_rank", F.explode(ranks)).select(
+        *g, "_rank", bound("_min").alias("_lo"), bound("_max").alias("_hi"), F.col("_low").alias("_below")), "ranks")
     while not (todo := state.where("_lo < _hi")).isEmpty():
         brackets = todo.select(*g, "_lo", "_hi", "_below").distinct()
         brackets = F.broadcast(brackets) if table_bytes(todo) <= BROADCAST_MAX_BYTES else brackets
@@ -252,8 +252,8 @@ def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], qs: Sequence[f
         upto = F.col("_below") + F.sum("_n").over(Window.partitionBy(*key).orderBy("_cell"))
         slices = slices.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_n"))
         hit = null_safe_join(todo, slices, key, "inner").where((F.col("_start") <= F.col("_rank")) & (F.col("_rank") < F.col("_end")))
-        state = cut_lineage(state.where("_lo >= _hi").unionByName(
-            hit.select(*g, "_rank", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_start").alias("_below"))))
+        state = written(state.where("_lo >= _hi").unionByName(
+            hit.select(*g, "_rank", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_start").alias("_below"))), "ranks")
     # at most two ranks per quantile and group
     found = state.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_v"))
     rows = null_safe_join(stats, found, g, "inner")
@@ -261,7 +261,7 @@ def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], qs: Sequence[f
     for i, (q, k) in enumerate(zip(qs, at)):
         a, b = F.col("_v")[k], F.col("_v")[F.least(k + 1, F.col("_n") - 1)]
         part = (F.col("_n") - 1) * F.lit(float(q)) - k
-        out.append(F.when(a == b, a).otherwise(a + (b - a) * part).alias(f"q{i}"))
+        out.append(F.when((a == b) | (part == 0), a).otherwise(a + (b - a) * part).alias(f"q{i}"))
     return rows.select(*[F.col(n).alias(c) for c, n in zip(by, g)], *out)
 
 

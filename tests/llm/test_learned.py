@@ -132,8 +132,59 @@ def test_lm_model_is_a_distribution():
     weights = np.full(lm.CLASSES, 0.4)
     machine = lm.BackoffAutomaton.of(pairs, pair, word, len(words), 4, weights)
     for state in range(5):
-        every = np.arange(5)
-        assert abs((10 ** machine.walk(every, np.full(5, state))).sum() - 1) < 1e-9
+        assert abs(sum(10 ** machine.traverse([w], state) for w in range(5)) - 1) < 1e-9
+    assert abs(machine.traverse([1, 4, 3]) - (machine.traverse([1]) + machine.traverse([4], 1) + machine.traverse([3], 4))) < 1e-12
+
+
+def brute_lambda(seqs, trains, grams, pairs):
+    """The weight of each class of contexts by EM, token by token."""
+    n, v = sum(grams.values()), len(grams)
+    seen = {}
+    for words, train in zip(seqs, trains):
+        for a, b in zip([None, *words], words) if train else ():
+            if grams[a] > 1:
+                k, own = min(int(math.log2(grams[a])), lm.CLASSES - 1), pairs[a, b] - 1
+                ratio = own / (grams[a] - 1) * (n - 1 + 0.1 * (v + 1)) / (grams[b] - 1 + 0.1)
+                place = min(max(round(2 * math.log2(ratio)) + 21, 1), lm.BINS - 1) if own else 0
+                seen.setdefault(k, Counter())[place] += 1
+    every = sum(seen.values(), Counter())
+    value = lambda j: 2 ** ((j - 21) / 2) if j else 0.0
+    out, last = [], 0.1
+    for k in range(lm.CLASSES):
+        n_of = {j: seen.get(k, Counter())[j] + 50 * c / every.total() for j, c in every.items()}
+        if k in seen:
+            last = 0.3
+            for _ in range(60):
+                last = sum(c * last * value(j) / (last * value(j) + 1 - last) for j, c in n_of.items()) / sum(n_of.values())
+            last = min(max(last, 1e-4), 0.95)
+        out.append(last)
+    if 0 not in seen:
+        out[0] = out[1]
+    return out
+
+
+def test_lm_scores_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text, crc32(str(r.doc_id).encode()) % 10 != 0) for r in docs.collect()]
+    seqs, grams, pairs = brute_counts(rows)
+    seqs = [seqs[k] for k in range(len(rows))]
+    weights = brute_lambda(seqs, [t for _, _, t in rows], grams, pairs)
+    n, v = sum(grams.values()), len(grams)
+    got = {r.doc_id: r.score for r in lm.score(docs, id_remainder("doc_id", 10) != 0, chunk_tokens=3000, bucket_tokens=5000).collect()}
+    assert len(got) == len(rows)
+    for (i, _, _), words in zip(rows, seqs):
+        want = 0.0
+        for a, b in zip([None, *words], words):
+            root = (grams[b] + 0.1) / (n + 0.1 * (v + 1))
+            mix = weights[min(int(math.log2(grams[a])), lm.CLASSES - 1)] if grams[a] else 0.0
+            want += math.log10((mix * pairs[a, b] / grams[a] if grams[a] else 0.0) + (1 - mix) * root)
+        assert abs(got[i] - want) < 1e-6 * max(1, abs(want)), i
+
+
+def test_lm_text_longer_than_a_chunk(spark, docs_of):
+    long = "one two three " * 40_000
+    got = {r.doc_id: r for r in lm.score(docs_of([(1, long), (2, "one two")]), F.lit(True), chunk_tokens=1000).collect()}
+    assert got[1].n_tokens == 120_001 and got[1].n_known == 120_001 and got[1].score > got[1].base_score
 
 
 def test_lm_beats_base_on_held_out(spark):

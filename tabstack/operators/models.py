@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabstack.functions.expr import exp_shift, log_shift, round_to_class
+from tabstack.operators._util import one_row
+from tabstack.operators.aggregates import medians
 from tabstack.operators.folds import assign_folds_stratified
 from tabstack.session import cut_lineage
 
@@ -37,6 +39,17 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES_COL) ->
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def fill_missing(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``features`` with the median of their known values (0 without any) where
+    null or NaN: ``pyspark.ml`` learners refuse such vectors.  A frame without
+    gaps costs one aggregate."""
+    gap = {c: F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in features}
+    n = one_row(df.agg(*[F.count_if(g).alias(c) for c, g in gap.items()]))
+    short = [c for c in features if n[c]]
+    fills = medians(df, short) if short else {}
+    return df.withColumns({c: F.when(gap[c], F.lit(float(fills[c] or 0.0))).otherwise(F.col(c).cast("double")) for c in short})
+
+
 # ---------------------------------------------------------------- learners
 
 def gbt_reg(seed: int = 42, max_iter: int = 30, depth: int = 4, loss: str = "squared", **kw) -> Estimator:

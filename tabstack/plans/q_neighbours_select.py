@@ -17,6 +17,7 @@ from tabstack.operators.neighbours import knn_candidates, knn_target
 from tabstack.plans import fixtures as FX
 from tabstack.plans.flagship import acct_features
 from tabstack.plans.registry import q6, query, sq6
+from tabstack.session import cut_lineage
 from tabstack.sources import store as ST
 
 W = FX.with_sql
@@ -272,10 +273,10 @@ def q_stepwise(spark, sf):
 
 @query("sel_l1")
 def q_l1(spark, sf):
-    """L1 linear model; features with zero weight are dropped."""
+    """L1 linear model; features with zero weight are dropped (gaps: train median)."""
     from pyspark.ml.regression import LinearRegression
     from tabstack.operators.encode import fit_scaler, scale_columns
-    d = _sel_frame(spark, sf)
+    d = cut_lineage(ML.fill_missing(_sel_frame(spark, sf), SEL))
     d = d.withColumns(scale_columns(fit_scaler(d, SEL, "standard")))
     m = LinearRegression(featuresCol="features", labelCol="rate", elasticNetParam=1.0, regParam=0.05) \
         .fit(ML.assemble(d, SEL))

@@ -346,7 +346,7 @@ def isotonic_calibrate(df: DataFrame, score: str, label: str, increasing: bool =
 
 def feature_importance(df: DataFrame, features: Sequence[str], label: str, kind: str = "reg",
                        seed: int = 42) -> list[tuple[str, float]]:
-    d = assemble(df, features)
+    d = assemble(fill_missing(df, features), features)
     est = rf_reg(seed, 50, 6) if kind == "reg" else rf_cls(seed, 50, 6)
     m = est.setLabelCol(label).fit(d)
     imp = np.asarray(m.featureImportances.toArray())

@@ -286,8 +286,8 @@ def q_l1(spark, sf):
 
 @query("sel_rfe")
 def q_rfe(spark, sf):
-    """Recursive elimination: refit, drop the two least important, repeat."""
-    d = _sel_frame(spark, sf)
+    """Recursive elimination: refit, drop the two least important, repeat (gaps: train median)."""
+    d = cut_lineage(ML.fill_missing(_sel_frame(spark, sf), SEL))
     left, rows, step = list(SEL), [], 0
     while len(left) > 4:
         imp = ML.feature_importance(d, left, "rate", "reg")

@@ -33,6 +33,7 @@ from tabstack.session import cut_lineage
 
 FEATURES_COL = "features"
 VALID_COL = "_valid"        # rows that tell a boosted learner when to stop
+ROWS_A_PART = 500_000       # at most so many rows of a training frame in a partition
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES_COL) -> DataFrame:
@@ -50,6 +51,17 @@ def fill_missing(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(gap[c], F.lit(float(fills[c] or 0.0))).otherwise(F.col(c).cast("double")) for c in short})
 
 
+def few_parts(df: DataFrame) -> DataFrame:
+    """``df`` for repeated fits, in as many partitions as the cluster has cores
+    or as ``ROWS_A_PART`` asks for, whichever are more.
+
+    A fit is hundreds of stages, each with a task per partition, and a task
+    costs the driver its start and kilobytes of report whatever its rows: with
+    the partitions that a shuffle left, both grow faster than the input."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_PART))
+    return df.coalesce(parts)
+
+
 # ---------------------------------------------------------------- learners
 
 def gbt_reg(seed: int = 42, max_iter: int = 30, depth: int = 4, loss: str = "squared", **kw) -> Estimator:
@@ -123,7 +135,7 @@ def oof_predict(df: DataFrame, make_estimator: Callable[[int], Estimator], featu
     With ``valid_share`` a boosted learner stops early: that share of its own
     training rows (by a hash of the key, so never rows of the fold it will
     score) tells when another tree no longer helps."""
-    d = assemble(df.select(key, fold, label, *features), features)
+    d = assemble(few_parts(df.select(key, fold, label, *features)), features)
     if valid_share:
         d = d.withColumn(VALID_COL, F.pmod(F.xxhash64(F.lit("valid"), F.col(key)), F.lit(10_000)) < int(valid_share * 10_000))
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
@@ -203,7 +215,7 @@ def nested_stack_cls(df: DataFrame, bases: Mapping[str, Callable[[int], Estimato
     d = df.select(key, fold, F.col(label).cast("double").alias(label), *features) \
         .withColumn("_stratum", F.concat_ws("|", F.col(fold), F.col(label)))
     d = assign_folds_stratified(d, key, inner, "_stratum", only_where=train, fold_col="_inner").drop("_stratum")
-    d = cut_lineage(assemble(d, features).drop(*features)).persist(StorageLevel.MEMORY_AND_DISK)
+    d = few_parts(cut_lineage(assemble(d, features).drop(*features))).persist(StorageLevel.MEMORY_AND_DISK)
     outer = sorted(r[0] for r in d.where(train).select(fold).distinct().collect()) + [None]
     names = list(bases)
 
@@ -279,7 +291,7 @@ def two_regime_mixture(df: DataFrame, features: Sequence[str], rate: str, tier:
 def _fit_subset_predict_all(df, features, label, fold, subset, key, seed=42):
     """Per fold: fit on train rows of other folds inside ``subset``; score the
     fold's rows (all of them); rows without fold get the fold-model mean."""
-    d = assemble(df.select(key, fold, label, *features, subset.alias("_in")), features)
+    d = assemble(few_parts(df.select(key, fold, label, *features, subset.alias("_in"))), features)
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).where(F.col(fold).isNotNull()).distinct().collect())
     models = fit_folds(d.where(F.col("_in")), lambda f: gbt_reg(seed + f, 20), label, fold, folds)

@@ -18,7 +18,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabstack.operators.models import assemble, parallel
+from tabstack.operators.models import assemble, few_parts, parallel
 
 
 def draw(space: Mapping[str, object], n: int, seed: int = 42) -> list[dict]:
@@ -54,7 +54,7 @@ def successive_halving(df: DataFrame, make: Callable[[dict, int], Estimator], sp
     Without two folds there is no row."""
     spark = df.sparkSession
     d = df.where(F.col(fold).isNotNull() & F.col(label).isNotNull()).select(fold, F.col(label).cast("double").alias(label), *features)
-    d = assemble(d, features).drop(*features).persist(StorageLevel.MEMORY_AND_DISK)
+    d = assemble(few_parts(d), features).drop(*features).persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in d.select(fold).distinct().collect())
     rows, alive = [], dict(enumerate(draw(space, draws, seed)))
 

@@ -40,7 +40,7 @@ top AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dist, n_id) AS r
 
 
 def _vec(spark, sf):
-    v = FX.vec(spark, sf)
+    v = cut_lineage(FX.vec(spark, sf))     # counted and read on both sides
     return v.withColumn("y", F.col("embedding")[0].cast("double"))
 
 
@@ -60,7 +60,7 @@ def q_knn_join(spark, sf):
     """The neighbour list itself (5 nearest, rank by distance then id)."""
     from pyspark.sql import Window
     v = _vec(spark, sf)
-    c = knn_candidates(v, v.where(F.col("split") == "train"), "vec_id", "embedding", 5, "fold", block_rows=100)
+    c = knn_candidates(v, v.where(F.col("split") == "train"), "vec_id", "embedding", 5, "fold")
     w = Window.partitionBy("q_id").orderBy("dist", "n_id")  # <= 5 rows per query
     return c.select("q_id", "n_id", F.row_number().over(w).cast("int").alias("rk"))
 

@@ -127,19 +127,27 @@ def stepwise_forward(gram: dict, names: Sequence[str], criterion: str = "aic", m
     return path
 
 
-def permutation_shift(df: DataFrame, col: str, key: str, seed: int = 42, rows_per_bucket: int = 50_000) -> DataFrame:
-    """Permute one column without a global sort: rows are ordered by a seeded
-    hash inside hash buckets and each takes the value of the next row; a
-    bucket's last row takes the first of the next bucket.  So from two rows on
-    no row keeps its own cell, and a bucket has about ``rows_per_bucket`` rows
-    whatever the size of the table."""
+def permuted(df: DataFrame, cols: Sequence[str], key: str, seed: int = 42, rows_per_bucket: int = 50_000, suffix: str = "_permuted") -> DataFrame:
+    """``df`` with each of ``cols`` permuted in a column beside it, without a
+    global sort and in one pass for all: rows are ordered by a seeded hash inside
+    hash buckets and each takes the cells of the next row; a bucket's last row
+    takes those of the first of the next bucket.  So from two rows on no row
+    keeps its own cell, and a bucket has about ``rows_per_bucket`` rows whatever
+    the size of the table."""
     buckets = max(1, -(-df.count() // rows_per_bucket))
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
     d = df.withColumns({"_ph": h, "_pb": F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))})
-    cell = F.struct(F.col(col).alias("v"))  # a struct: a NULL cell is a value, too
-    firsts = d.groupBy("_pb").agg(F.min_by(cell, F.col("_ph")).alias("_first"))  # a row per bucket
+    cells = F.struct(*[F.col(c) for c in cols])  # a struct: a NULL cell is a value, too
+    firsts = d.groupBy("_pb").agg(F.min_by(cells, F.col("_ph")).alias("_first"))  # a row per bucket
     around = Window.orderBy("_pb")
     after = F.coalesce(F.lead("_first").over(around), F.first("_first").over(around))
     d = d.join(bounded_broadcast(firsts.select("_pb", after.alias("_after"))), "_pb")
-    nxt = F.lead(cell).over(Window.partitionBy("_pb").orderBy("_ph"))
-    return d.withColumn("_next", F.coalesce(nxt, F.col("_after"))).withColumn(col, F.col("_next.v")).select(*df.columns)
+    nxt = F.lead(cells).over(Window.partitionBy("_pb").orderBy("_ph"))
+    d = d.withColumn("_next", F.coalesce(nxt, F.col("_after")))
+    return d.select(*df.columns, *[F.col("_next")[c].alias(f"{c}{suffix}") for c in cols])
+
+
+def permutation_shift(df: DataFrame, col: str, key: str, seed: int = 42, rows_per_bucket: int = 50_000) -> DataFrame:
+    """``df`` with one column permuted (see :func:`permuted`)."""
+    d = permuted(df, [col], key, seed, rows_per_bucket, "_permuted")
+    return d.withColumn(col, F.col(f"{col}_permuted")).select(*df.columns)

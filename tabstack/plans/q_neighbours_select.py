@@ -301,20 +301,22 @@ def q_rfe(spark, sf):
 @query("sel_permutation")
 def q_permutation(spark, sf):
     """Permutation importance: R^2 drop of a fitted linear model when one
-    column is permuted (bucketed hash order, no global sort)."""
-    from tabstack.operators.linear import linear_prediction
-    from tabstack.operators.metrics import r2_rmse
-    d = _sel_frame(spark, sf).withColumn("fold", F.lit(None).cast("int"))
+    column is permuted (bucketed hash order, no global sort).  The rows are
+    prepared once, and one pass permutes every column and scores them all."""
+    from tabstack.operators.linear import linear_prediction, solve_ridge
+    d = cut_lineage(_sel_frame(spark, sf).withColumn("fold", F.lit(None).cast("int")))
     g = gram_by(d, SEL, "rate")[0]
-    from tabstack.operators.linear import solve_ridge
     beta = solve_ridge(g[0], g[1], 1e-6)
-    pred = linear_prediction(SEL, {}, beta, "fold")
-    base = r2_rmse(d, pred, "rate").collect()[0]["r2"]
-    rows = []
-    for f in SEL:
-        p = SL.permutation_shift(d, f, "row_id")
-        rows.append((f, float(base - r2_rmse(p, pred, "rate").collect()[0]["r2"])))
-    return spark.createDataFrame(rows, "feature string, r2_drop double")
+    y = F.col("rate").cast("double")
+    mean = d.agg(F.avg(y)).first()[0]
+    p = SL.permuted(d, SEL, "row_id")
+    sums = [F.sum((y - F.lit(mean)) ** 2).alias("sst")]
+    for at, f in enumerate([None, *SEL]):
+        pred = linear_prediction([f"{c}_permuted" if c == f else c for c in SEL], {}, beta, "fold")
+        sums.append(F.sum((y - pred) ** 2).alias(f"sse{at}"))
+    s = p.agg(*sums).first()
+    r2 = [1.0 - s[f"sse{at}"] / s["sst"] for at in range(len(SEL) + 1)]
+    return spark.createDataFrame([(f, float(r2[0] - r)) for f, r in zip(SEL, r2[1:])], "feature string, r2_drop double")
 
 
 GEN = ["n_orders", "late90", "total_value"]

@@ -210,14 +210,15 @@ def nested_stack_cls(df: DataFrame, bases: Mapping[str, Callable[[int], Estimato
 
     The inner parts are exact strata of (fold, class), so one assignment serves
     all outer folds and a row's own label never reaches what scores it.  The
-    base fits are independent jobs on one persisted frame."""
+    base fits are independent jobs on one persisted frame; a row is scored only
+    by the base models that its place asks for."""
     train = F.col(fold).isNotNull() & F.col(label).isNotNull()
     d = df.select(key, fold, F.col(label).cast("double").alias(label), *features) \
         .withColumn("_stratum", F.concat_ws("|", F.col(fold), F.col(label)))
     d = assign_folds_stratified(d, key, inner, "_stratum", only_where=train, fold_col="_inner").drop("_stratum")
     d = few_parts(cut_lineage(assemble(d, features).drop(*features))).persist(StorageLevel.MEMORY_AND_DISK)
     outer = sorted(r[0] for r in d.where(train).select(fold).distinct().collect()) + [None]
-    names = list(bases)
+    names, parts = list(bases), d.rdd.getNumPartitions()
 
     def rows_of(o):
         return train if o is None else train & (F.col(fold) != o)
@@ -231,32 +232,31 @@ def nested_stack_cls(df: DataFrame, bases: Mapping[str, Callable[[int], Estimato
     jobs = [(o, name, j) for o in outer for name in names for j in [*range(inner), None]]
     fitted = dict(parallel(fit, jobs, parallelism))
 
-    def score(o):
-        s, meta = d, []
+    def scored(o, rows, j):
+        """``rows`` with the probabilities of the bases of part ``j`` (None: of all training rows) as one vector."""
+        meta = []
         for name in names:
-            for j in [*range(inner), None]:
-                tag = f"_{name}_{'all' if j is None else j}"
-                m = fitted[o, name, j].copy().setPredictionCol(f"{tag}_c").setProbabilityCol(tag).setRawPredictionCol(f"{tag}_r")
-                s = m.transform(s).withColumn(tag, vector_to_array(tag)).drop(f"{tag}_c", f"{tag}_r")
-            own = F.col(f"_{name}_all")
-            for j in range(inner):
-                own = F.when(rows_of(o) & (F.col("_inner") == j), F.col(f"_{name}_{j}")).otherwise(own)
+            m = fitted[o, name, j].copy().setPredictionCol(f"_{name}_c").setProbabilityCol(f"_{name}").setRawPredictionCol(f"_{name}_r")
+            rows = m.transform(rows).withColumn(f"_{name}", vector_to_array(f"_{name}")).drop(f"_{name}_c", f"_{name}_r")
             # a training part may lack the highest classes: their probability is 0
-            meta += [F.coalesce(F.get(own, F.lit(k)), F.lit(0.0)) for k in range(n_classes)]
-        s = s.select(key, fold, label, "_inner", array_to_vector(F.array(*meta)).alias("_meta")).persist(StorageLevel.MEMORY_AND_DISK)
+            meta += [F.coalesce(F.get(F.col(f"_{name}"), F.lit(k)), F.lit(0.0)) for k in range(n_classes)]
+        return rows.select(key, fold, label, array_to_vector(F.array(*meta)).alias("_meta"))
+
+    def score(o):
+        rest = F.col(fold).isNull() if o is None else F.col(fold) == o
+        pieces = [scored(o, d.where(rows_of(o) & (F.col("_inner") == j)), j) for j in range(inner)] + [scored(o, d.where(rest), None)]
+        # written: the meta model takes hundreds of jobs, and each would carry the base models of its frame's lineage
+        s = cut_lineage(reduce(lambda x, y: x.unionByName(y), pieces).coalesce(parts))
         learn = s.where(rows_of(o))
         n = learn.count()
         top = LogisticRegression(featuresCol="_meta", labelCol=label, family="multinomial", regParam=1.0 / (C * n),
                                  standardization=False, maxIter=2000, probabilityCol="_p").fit(learn)
-        here = s.where(F.col(fold).isNull() if o is None else F.col(fold) == o)
-        p = top.transform(here).withColumn("_p", vector_to_array("_p"))
-        out = cut_lineage(p.select(key, fold, *[F.coalesce(F.get("_p", F.lit(k)), F.lit(0.0)).alias(f"p{k}") for k in range(n_classes)]))
-        s.unpersist()
-        return out
+        p = top.transform(s.where(rest)).withColumn("_p", vector_to_array("_p"))
+        return cut_lineage(p.select(key, fold, *[F.coalesce(F.get("_p", F.lit(k)), F.lit(0.0)).alias(f"p{k}") for k in range(n_classes)]))
 
-    parts = parallel(score, outer, parallelism)
+    done = parallel(score, outer, parallelism)
     d.unpersist()
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), done)
 
 
 def ordinal_regression(df: DataFrame, features: Sequence[str], label: str, fold: str,

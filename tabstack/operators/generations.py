@@ -61,7 +61,7 @@ def enlarge(table: DataFrame, pseudo: DataFrame, labels: Sequence[str], key: str
     d = cut_lineage(d)      # read twice below, and the folds it is dealt must not change
     dealt = assign_folds_mixed(d.where("_learns").drop(fold), key, k, stratify, "is_pseudo", seed, fold)
     rest = d.where("NOT _learns").withColumn(fold, F.lit(None).cast("int"))
-    return dealt.drop("_learns").unionByName(rest.drop("_learns"))
+    return cut_lineage(dealt.drop("_learns").unionByName(rest.drop("_learns")))     # a fit reads it several times
 
 
 def long_predictions(scored: DataFrame, version: str, models: dict[tuple[str, str], Sequence[str]], key: str = "row_id", fold: str = "fold") -> DataFrame:

@@ -67,19 +67,19 @@ def fit_bases(a: DataFrame, flags: list[str]) -> tuple[DataFrame, dict[str, floa
     st = fit_target_stats(a.where(learns), ["nation", "segment"], "rate", fold="fold", m=20.0,
                           stats=("mean", "p", "std"), binary=(F.col("tier") == 4).cast("int"))
     stats = [f"{k}_{s}" for k in ("nation", "segment") for s in ("te", "te_p", "te_std")]
-    a = apply_target_stats(a.drop(*stats, *LEARNED), st)
+    # each table that the learners read more than once is written: else every count, assembly and join builds all before it again
+    a = cut_lineage(apply_target_stats(a.drop(*stats, *LEARNED), st))
     feats = BASE + stats + [f"{c}_was_missing" for c in flags]
     # task A: class probabilities out of fold
     pa = ML.oof_predict(a, lambda f: ML.rf_cls(42 + f, 40, 6), feats, "tier", "fold", "cls")
-    a = a.join(pa.drop("fold"), "row_id").withColumn("exp_tier", E.expected_class(F.array(*PROBS)))
+    a = cut_lineage(a.join(pa.drop("fold"), "row_id").withColumn("exp_tier", E.expected_class(F.array(*PROBS))))
     feats_b = feats + PROBS + ["exp_tier"]
     # task B: two regressors out of fold, blended with convex weights
-    r1 = ML.oof_predict(a, lambda f: ML.gbt_reg(42 + f, 20), feats_b, "rate", "fold", "reg").withColumnRenamed("pred", "r_gbt")
-    r2 = ML.oof_predict(a, lambda f: ML.rf_reg(42 + f, 40), feats_b, "rate", "fold", "reg").withColumnRenamed("pred", "r_rf")
-    a = a.join(r1.drop("fold"), "row_id").join(r2.drop("fold"), "row_id")
+    makers = {"r_gbt": lambda f: ML.gbt_reg(42 + f, 20), "r_rf": lambda f: ML.rf_reg(42 + f, 40)}
+    r1, r2 = ML.parallel(lambda m: ML.oof_predict(a, m[1], feats_b, "rate", "fold", "reg").withColumnRenamed("pred", m[0]), makers.items())
+    a = cut_lineage(a.join(r1.drop("fold"), "row_id").join(r2.drop("fold"), "row_id"))
     w = B.blend_convex_reg(B.gram_state(a.where(learns & (F.col("is_pseudo") == 0)), ["r_gbt", "r_rf"], "rate"))
-    a = a.withColumn("rate_pred", B.blend_scalar(["r_gbt", "r_rf"], list(w)))
-    return cut_lineage(a), {"w_gbt": float(w[0]), "w_rf": float(w[1])}
+    return a.withColumn("rate_pred", B.blend_scalar(["r_gbt", "r_rf"], list(w))), {"w_gbt": float(w[0]), "w_rf": float(w[1])}
 
 
 def _scores(g: Generation) -> DataFrame:
